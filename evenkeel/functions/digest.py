@@ -15,7 +15,6 @@ from evenkeel.functions.canon import FLOAT_DECIMALS, fast_row_text, row_text
 
 WORDS = range(4)
 LIMBS = range(4)
-WORD_SIZE = "18446744073709551616BD"
 
 
 def hash_word(hex_text: Column, position: int) -> Column:
@@ -74,11 +73,17 @@ def _fold256(hashes: DataFrame) -> DataFrame:
     return words.agg(*aggregates)
 
 
-def _hex64(value: str) -> str:
-    """SQL text that prints a decimal below 2**64 as 16 hex digits."""
-    high = f"cast({value} div 4294967296BD as bigint)"
-    low = f"cast({value} % 4294967296BD as bigint)"
-    return f"lower(concat(lpad(hex({high}), 8, '0'), lpad(hex({low}), 8, '0')))"
+def _carried() -> Column:
+    """The 16 limb sums as one number modulo 2**256, in 64 hex digits."""
+    limbs = F.array(*[F.col(f"s{w}_{i}") for w in reversed(WORDS) for i in reversed(LIMBS)])
+
+    def step(acc: Column, limb: Column) -> Column:
+        total = acc["carry"] + limb
+        digits = F.lpad(F.lower(F.hex(total.bitwiseAND(F.lit(0xFFFF)))), 4, "0")
+        return F.struct(F.shiftright(total, 16).alias("carry"), F.concat(digits, acc["digits"]).alias("digits"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("digits"))
+    return F.aggregate(limbs, start, step, lambda acc: acc["digits"])
 
 
 def fingerprint(hashes: DataFrame) -> DataFrame:
@@ -88,15 +93,8 @@ def fingerprint(hashes: DataFrame) -> DataFrame:
     digest is the SHA-256 of ``count:sum:xor`` in hex without leading zeros.
     """
     folded = _fold256(hashes)
-    for w in reversed(WORDS):
-        terms = [f"cast(s{w}_{i} as decimal(38,0)) * {1 << (48 - 16 * i)}BD" for i in LIMBS]
-        carry = f" + cast(carry{w + 1} as decimal(38,0))" if w < 3 else ""
-        folded = folded.withColumn(f"t{w}", F.expr(f"cast({' + '.join(terms)}{carry} as decimal(38,0))"))
-        folded = folded.withColumn(f"carry{w}", F.expr(f"t{w} div {WORD_SIZE}"))
-        folded = folded.withColumn(f"r{w}", F.expr(f"cast(t{w} % {WORD_SIZE} as decimal(20,0))"))
-    sum_hex = F.concat(*[F.expr(_hex64(f"r{w}")) for w in WORDS])
     xor_hex = F.concat(*[F.lower(F.lpad(F.hex(F.col(f"x{w}")), 16, "0")) for w in WORDS])
-    shown = folded.select("row_count", sum_hex.alias("sum_hex"), xor_hex.alias("xor_hex"))
+    shown = folded.select("row_count", _carried().alias("sum_hex"), xor_hex.alias("xor_hex"))
     short = [F.regexp_replace(F.col(c), "^0+(?=.)", "") for c in ("sum_hex", "xor_hex")]
     digest = F.sha2(F.concat_ws(":", F.col("row_count").cast("string"), *short), 256)
     return shown.withColumn("digest", digest)

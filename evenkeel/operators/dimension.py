@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from evenkeel.functions.canon import column, type_of
 from evenkeel.functions.scalars import md5_of
-from evenkeel.operators.checks import to_checks, union_all
-from evenkeel.operators.ordered import ROWS_PER_CHUNK, latest_per_key, with_next, with_previous
+from evenkeel.operators.checks import to_checks
+from evenkeel.operators.ordered import ROWS_PER_CHUNK, find_cuts, latest_per_key, with_next, with_previous
 
 TERMINAL = "9999-12-31"
 
@@ -51,61 +51,85 @@ def row_hash_mismatches(df: DataFrame, stored: str, columns: Sequence[str]) -> D
     return computed.where(~column(stored).eqNullSafe(F.col("computed_hash")))
 
 
-def timeline_violations(df: DataFrame, t: Timeline, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """(entity, rule, detail) per violation.
-
-    Rules: gap (a version does not end where the next one begins), current (not exactly one
-    current version), terminal (the current version does not end on the terminal date, or a
-    closed one does), row_hash.
-    """
-    entity = column(t.entity)
+def _judged(df: DataFrame, t: Timeline, rows_per_chunk: int) -> DataFrame:
+    """Rows with a flag per rule: gap, open (ends on the terminal date), bad_hash."""
     second = lambda c: F.date_trunc("second", c.cast("timestamp"))
+    hashed = t.row_hash is not None and len(t.hash_columns) > 0
+    bad_hash = ~column(t.row_hash).eqNullSafe(row_hash(df, t.hash_columns)) if hashed else F.lit(False)
+    rows = df.select(
+        t.entity,
+        t.eff_from,
+        t.eff_to,
+        F.coalesce(column(t.current), F.lit(False)).alias("_current"),
+        column(t.eff_to).cast("date").eqNullSafe(F.lit(t.terminal).cast("date")).alias("_open"),
+        bad_hash.alias("_bad_hash"),
+        (column(t.row_hash) if hashed else F.lit(None).cast("string")).alias("_stored"),
+        F.lit(True).alias("_has_next"),
+    )
     chained = with_next(
-        df.select(t.entity, t.eff_from, t.eff_to).withColumn("_has_next", F.lit(True)),
+        rows,
         [t.entity],
         [t.eff_from, t.eff_to],
         {"_next_from": t.eff_from, "_next": "_has_next"},
-        rows_per_chunk,
-    )
-    broken = chained.where(
-        F.col("_next") & ~second(column(t.eff_to)).eqNullSafe(second(F.col("_next_from")))
-    ).select(
-        entity.alias("entity"),
-        F.lit("gap").alias("rule"),
-        F.concat_ws(" -> ", column(t.eff_to).cast("string"), F.col("_next_from").cast("string")).alias("detail"),
-    )
-    is_current = F.coalesce(column(t.current), F.lit(False))
-    ends_terminal = column(t.eff_to).cast("date").eqNullSafe(F.lit(t.terminal).cast("date"))
-    per_entity = df.groupBy(entity.alias("entity")).agg(
-        F.count_if(is_current).alias("n_current"),
-        F.count_if(is_current & ~ends_terminal).alias("open_end"),
+        find_cuts(rows, [t.entity], t.eff_from, rows_per_chunk),
     )
-    wrong_current = per_entity.where(F.col("n_current") != 1).select(
-        "entity", F.lit("current").alias("rule"), F.col("n_current").cast("string").alias("detail")
+    gap = F.coalesce("_next", F.lit(False)) & ~second(column(t.eff_to)).eqNullSafe(second(F.col("_next_from")))
+    return chained.withColumn("_gap", gap)
+
+
+def _per_entity(judged: DataFrame, t: Timeline) -> DataFrame:
+    return judged.groupBy(column(t.entity).alias("entity")).agg(
+        F.count_if("_gap").alias("gap"),
+        F.count_if("_current").alias("n_current"),
+        F.count_if(F.col("_current") & ~F.col("_open")).alias("closed_current"),
+        F.count_if(~F.col("_current") & F.col("_open")).alias("open_closed"),
+        F.count_if("_bad_hash").alias("row_hash"),
     )
-    not_terminal = per_entity.where((F.col("n_current") == 1) & (F.col("open_end") > 0)).select(
-        "entity", F.lit("terminal").alias("rule"), F.lit("current version is closed").alias("detail")
+
+
+def timeline_violations(df: DataFrame, t: Timeline, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """(entity, rule, detail) per violation.
+
+    Rules: gap (a version does not end where the next one begins), current (not exactly one
+    current version), terminal (the current version does not end on the terminal date, or a
+    closed one does), row_hash.
+    """
+    judged = _judged(df, t, rows_per_chunk)
+
+    def found(condition: Column, rule: str, detail: Column) -> Column:
+        return F.when(condition, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
+
+    hop = F.concat_ws(" -> ", column(t.eff_to).cast("string"), F.col("_next_from").cast("string"))
+    row_level = F.array(
+        found(F.col("_gap"), "gap", hop),
+        found(~F.col("_current") & F.col("_open"), "terminal", F.lit("closed version is open-ended")),
+        found(F.col("_bad_hash"), "row_hash", F.col("_stored")),
     )
-    closed_terminal = df.where(~is_current & ends_terminal).select(
-        entity.alias("entity"), F.lit("terminal").alias("rule"), F.lit("closed version is open-ended").alias("detail")
+    entity_level = F.array(
+        found(F.col("n_current") != 1, "current", F.col("n_current")),
+        found((F.col("n_current") == 1) & (F.col("closed_current") > 0), "terminal", F.lit("current version is closed")),
     )
-    found = [broken, wrong_current, not_terminal, closed_terminal]
-    if t.row_hash and t.hash_columns:
-        found.append(
-            row_hash_mismatches(df, t.row_hash, t.hash_columns).select(
-                entity.alias("entity"), F.lit("row_hash").alias("rule"), column(t.row_hash).alias("detail")
-            )
-        )
-    return union_all(found)
+    by_row = judged.select(column(t.entity).alias("entity"), F.inline(F.array_compact(row_level)))
+    by_entity = _per_entity(judged, t).select("entity", F.inline(F.array_compact(entity_level)))
+    return by_row.unionByName(by_entity)
 
 
 def scd2_continuity(name: str, df: DataFrame, t: Timeline, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """One check per rule with its number of violations."""
-    rules = ["gap", "current", "terminal"] + (["row_hash"] if t.row_hash and t.hash_columns else [])
-    violations = timeline_violations(df, t, rows_per_chunk)
-    counts = violations.agg(*[F.count_if(F.col("rule") == r).alias(r) for r in rules])
-    per_rule = counts.select(
-        F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("n")) for r in rules]))
+    """One check per rule with its number of violations, from one pass over the versions."""
+    one_current = F.col("n_current") == 1
+    counts = {
+        "gap": F.sum("gap"),
+        "current": F.count_if(~one_current),
+        "terminal": F.sum(F.col("open_closed") + F.when(one_current, F.col("closed_current")).otherwise(0)),
+    }
+    if t.row_hash and t.hash_columns:
+        counts["row_hash"] = F.sum("row_hash")
+    zero = F.lit(0).cast("bigint")
+    folded = _per_entity(_judged(df, t, rows_per_chunk), t).agg(
+        *[F.coalesce(v, zero).alias(f"{k}_n") for k, v in counts.items()]
+    )
+    per_rule = folded.select(
+        F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"{r}_n").alias("n")) for r in counts]))
     )
     return to_checks(
         per_rule,
@@ -136,9 +160,10 @@ def build_versions(
     needed = list(dict.fromkeys([entity, changed_at, *tracked, *tie_break]))
     last = latest_per_key(changes.select(*needed), [entity, changed_at], order)
     hashed = last.select(entity, changed_at, *tracked).withColumn("row_hash", row_hash(last, [entity, *tracked]))
-    stepped = with_previous(hashed, [entity], [changed_at], {"_before": "row_hash"}, rows_per_chunk)
+    cuts = find_cuts(changes, [entity], changed_at, rows_per_chunk)
+    stepped = with_previous(hashed, [entity], [changed_at], {"_before": "row_hash"}, cuts)
     starts = stepped.where(~F.col("_before").eqNullSafe(F.col("row_hash"))).drop("_before")
-    ended = with_next(starts, [entity], [changed_at], {"_until": changed_at}, rows_per_chunk)
+    ended = with_next(starts, [entity], [changed_at], {"_until": changed_at}, cuts)
     until = F.coalesce(F.col("_until").cast("timestamp"), F.lit(terminal).cast("timestamp"))
     return ended.select(
         entity,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.canon import column
-from evenkeel.operators.ordered import ROWS_PER_CHUNK, with_running_sum
+from evenkeel.operators.ordered import ROWS_PER_CHUNK, find_cuts, with_running_sum
 
 
 def followers_within(
@@ -45,7 +45,9 @@ def followers_within(
         key, *kept, F.col("_probe.at").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_add"),
         F.col("_probe.sign").alias("_sign"),
     )
-    running = with_running_sum(starts.unionByName(ends), [key], ["_at", "_kind"], "_add", "_upto", rows_per_chunk)
+    points = starts.unionByName(ends)
+    cuts = find_cuts(points, [key], "_at", rows_per_chunk)
+    running = with_running_sum(points, [key], ["_at", "_kind"], "_add", "_upto", cuts)
     counted = running.where(F.col("_kind") == 1).groupBy(*kept).agg(
         F.sum(F.col("_sign") * F.col("_upto")).alias("followers")
     )

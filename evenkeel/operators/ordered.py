@@ -1,25 +1,40 @@
 """Neighbours and running sums within a key, also for keys with very many rows.
 
 A plain window sends every row of a key to one task. Here a key with more than
-``rows_per_chunk`` rows is cut into chunks along its first order column; the window runs per
+``ROWS_PER_CHUNK`` rows is cut into chunks along its first order column; the window runs per
 (key, chunk), and what crosses a chunk border comes from a small table with one row per
-chunk. Other keys keep a single chunk. The cut depends on the count, minimum and maximum of
-a key alone, so a lost task that runs again cuts the same way.
+chunk. Where no key is that large, which one aggregation over the key column finds out, the
+plan is the plain window. A cut depends on the count, minimum and maximum of a key alone, so
+a lost task that runs again cuts the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.canon import column, type_of
+from evenkeel.session import durable
 
 ROWS_PER_CHUNK = 2_000_000
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """How the large keys of a frame are cut; ``table`` is None when there are none.
+
+    Cuts stay valid for any later frame whose rows have the same keys and order values.
+    """
+
+    keys: tuple[str, ...]
+    order: str
+    table: DataFrame | None
+
+
 def _position(df: DataFrame, name: str) -> Column:
     dtype = type_of(df, name)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -35,31 +50,48 @@ def _same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
     return [column(a).eqNullSafe(column(b)) for a, b in zip(left, right)]
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """``df`` with ``_chunk``: 0 for ordinary keys, ascending along ``order`` for large ones."""
-    placed = df.withColumn("_pos", _position(df, order))
-    sizes = placed.groupBy(*keys).agg(
+def _renamed(keys: Sequence[str]) -> list[str]:
+    return [f"_key{i}" for i in range(len(keys))]
+
+
+def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Cuts:
+    """Run the sizing job: keys with more than ``rows_per_chunk`` rows, and their range of ``order``.
+
+    There are at most rows / rows_per_chunk of them; they are kept as a written table.
+    """
+    placed = df.select(*[column(k).alias(r) for k, r in zip(keys, _renamed(keys))], _position(df, order).alias("_pos"))
+    sizes = placed.groupBy(*_renamed(keys)).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi")
     )
-    renamed = [f"_key{i}" for i in range(len(keys))]
     large = sizes.where(F.col("_n") > rows_per_chunk).select(
-        *[column(k).alias(r) for k, r in zip(keys, renamed)],
+        *_renamed(keys),
         "_lo",
         (F.col("_hi") - F.col("_lo")).alias("_span"),
-        F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("double").alias("_parts"),
+        F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("bigint").alias("_parts"),
     )
-    joined = placed.join(large, _same(keys, renamed), "left")
-    share = (F.col("_pos") - F.col("_lo")) / F.col("_span")
-    last = F.col("_parts") - 1
-    chunk = (
-        F.when(F.col("_parts").isNull(), 0)
-        .when(F.col("_pos").isNull(), -1)
-        .when(F.col("_span") <= 0, 0)
-        .otherwise(F.least(F.floor(share * F.col("_parts")), last.cast("bigint")))
+    table = durable(large)
+    return Cuts(tuple(keys), order, None if table.isEmpty() else table)
+
+
+def _chunked(df: DataFrame, cuts: Cuts) -> DataFrame:
+    """``df`` with ``_chunk``: NULL for ordinary keys, ascending along the order for large ones."""
+    joined = df.withColumn("_pos", _position(df, cuts.order)).join(
+        cuts.table, _same(cuts.keys, _renamed(cuts.keys)), "left"
+    )
+    share = (F.col("_pos") - F.col("_lo")) / F.nullif(F.col("_span"), F.lit(0.0))
+    inside = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.col("_parts") - 1)
+    chunk = F.when(F.col("_pos").isNull(), F.lit(-1)).otherwise(inside)
+    placed = F.when(F.col("_parts").isNotNull(), chunk.cast("bigint"))
+    return joined.select(*[column(c) for c in df.columns], placed.alias("_chunk"))
+
+
+def _across(edges: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """One value per chunk under names that do not clash with the rows'."""
+    return edges.select(
+        *[column(k).alias(r) for k, r in zip(keys, _renamed(keys))],
+        F.col("_chunk").alias("_edge_chunk"),
+        value.alias("_across"),
     )
-    return joined.withColumn("_chunk", chunk.cast("bigint")).withColumn(
-        "_large", F.col("_parts").isNotNull()
-    ).drop(*renamed, "_lo", "_span", "_parts", "_pos")
 
 
 def _with_neighbour(
@@ -67,82 +99,65 @@ def _with_neighbour(
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, str],
-    rows_per_chunk: int,
+    cuts: Cuts | None,
     forward: bool,
 ) -> DataFrame:
-    rows = chunked(df, keys, order[0], rows_per_chunk)
+    cuts = cuts or find_cuts(df, keys, order[0])
+    step = F.lead if forward else F.lag
     ascending = [column(o).asc_nulls_first() for o in order]
+    if cuts.table is None:
+        w = Window.partitionBy(*keys).orderBy(*ascending)
+        return df.select("*", *[step(column(c)).over(w).alias(name) for name, c in values.items()])
+    rows = _chunked(df, cuts)
     within = Window.partitionBy(*keys, "_chunk").orderBy(*ascending)
-    step = F.lead if forward else F.lag
-    marker = step(F.lit(True)).over(within).isNull()
+    at_edge = step(F.lit(True)).over(within).isNull()
     local = rows.select(
-        "*", marker.alias("_edge"), *[step(column(c)).over(within).alias(name) for name, c in values.items()]
+        "*", at_edge.alias("_edge"), *[step(column(c)).over(within).alias(name) for name, c in values.items()]
     )
     picked = F.struct(*[column(c).alias(name) for name, c in values.items()])
     rank = F.struct(*[column(o) for o in order])
     nearest = F.min_by(picked, rank) if forward else F.max_by(picked, rank)
-    edges = rows.where(F.col("_large")).groupBy(*keys, "_chunk").agg(nearest.alias("_near"))
-    across = Window.partitionBy(*keys).orderBy("_chunk")
-    renamed = [f"_key{i}" for i in range(len(keys))]
-    edges = edges.select(
-        *[column(k).alias(r) for k, r in zip(keys, renamed)],
-        F.col("_chunk").alias("_edge_chunk"),
-        step("_near").over(across).alias("_near"),
-    )
-    condition = _same([*keys, "_chunk"], [*renamed, "_edge_chunk"])
-    joined = local.join(edges, condition, "left")
+    edges = rows.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(nearest.alias("_near"))
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    near = durable(_across(edges, keys, step("_near").over(by_chunk)))
+    joined = local.join(near, _same([*keys, "_chunk"], [*_renamed(keys), "_edge_chunk"]), "left")
     filled = [
-        F.when(F.col("_edge"), F.col("_near").getField(name)).otherwise(column(name)).alias(name) for name in values
+        F.when(F.col("_edge"), F.col("_across").getField(name)).otherwise(column(name)).alias(name) for name in values
     ]
     return joined.select(*[column(c) for c in df.columns], *filled)
 
 
 def with_previous(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, str],
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], cuts: Cuts | None = None
 ) -> DataFrame:
     """Add columns holding the previous row's values within the key: {new name: column}."""
-    return _with_neighbour(df, keys, order, values, rows_per_chunk, forward=False)
+    return _with_neighbour(df, keys, order, values, cuts, forward=False)
 
 
 def with_next(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, str],
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], cuts: Cuts | None = None
 ) -> DataFrame:
     """Add columns holding the next row's values within the key: {new name: column}."""
-    return _with_neighbour(df, keys, order, values, rows_per_chunk, forward=True)
+    return _with_neighbour(df, keys, order, values, cuts, forward=True)
 
 
 def with_running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    amount: str,
-    name: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, name: str, cuts: Cuts | None = None
 ) -> DataFrame:
     """Add the sum of ``amount`` over the rows of the key up to and including this one."""
-    rows = chunked(df, keys, order[0], rows_per_chunk)
-    upto = Window.partitionBy(*keys, "_chunk").orderBy(*[column(o).asc_nulls_first() for o in order]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = rows.withColumn("_sum", F.sum(amount).over(upto))
+    cuts = cuts or find_cuts(df, keys, order[0])
+    ascending = [column(o).asc_nulls_first() for o in order]
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if cuts.table is None:
+        w = Window.partitionBy(*keys).orderBy(*ascending).rowsBetween(*upto)
+        return df.select("*", F.sum(amount).over(w).alias(name))
+    rows = _chunked(df, cuts)
+    local = rows.withColumn("_sum", F.sum(amount).over(Window.partitionBy(*keys, "_chunk").orderBy(*ascending).rowsBetween(*upto)))
+    totals = rows.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(F.sum(amount).alias("_total"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    renamed = [f"_key{i}" for i in range(len(keys))]
-    totals = rows.where(F.col("_large")).groupBy(*keys, "_chunk").agg(F.sum(amount).alias("_total"))
-    totals = totals.select(
-        *[column(k).alias(r) for k, r in zip(keys, renamed)],
-        F.col("_chunk").alias("_edge_chunk"),
-        F.sum("_total").over(before).alias("_before"),
-    )
-    joined = local.join(totals, _same([*keys, "_chunk"], [*renamed, "_edge_chunk"]), "left")
-    total = F.col("_sum") + F.coalesce(F.col("_before"), F.lit(0))
+    carried = durable(_across(totals, keys, F.sum("_total").over(before)))
+    joined = local.join(carried, _same([*keys, "_chunk"], [*_renamed(keys), "_edge_chunk"]), "left")
+    total = F.col("_sum") + F.coalesce(F.col("_across"), F.lit(0))
     return joined.select(*[column(c) for c in df.columns], total.alias(name))
 
 
@@ -168,11 +183,11 @@ def nearest_rank_percentiles(
     Equal values are counted first; the rank is then a running sum over distinct values.
     """
     counts = df.where(column(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_copies"))
-    ranked = with_running_sum(counts, groups, [value], "_copies", "_upto", rows_per_chunk)
-    totals = counts.groupBy(*groups).agg(F.sum("_copies").alias("_all"))
-    renamed = [f"_group{i}" for i in range(len(groups))]
-    totals = totals.select(*[column(g).alias(r) for g, r in zip(groups, renamed)], "_all")
-    joined = ranked.join(totals, _same(groups, renamed))
+    cuts = find_cuts(counts, groups, value, rows_per_chunk)
+    ranked = with_running_sum(counts, groups, [value], "_copies", "_upto", cuts)
+    totals = df.where(column(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("_all"))
+    totals = totals.select(*[column(g).alias(r) for g, r in zip(groups, _renamed(groups))], "_all")
+    joined = ranked.join(totals, _same(groups, _renamed(groups)))
     picks = []
     for p in percents:
         # rank >= ceil(p / 100 * all), in whole numbers

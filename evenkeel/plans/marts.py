@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.scalars import compact_date, epoch_seconds, epoch_to_timestamp, floor_millis, percent, regex_group
 from evenkeel.operators.hierarchy import descend
 from evenkeel.operators.intervals import followers_within
-from evenkeel.operators.ordered import ROWS_PER_CHUNK, latest_per_key, with_previous
+from evenkeel.operators.ordered import ROWS_PER_CHUNK, find_cuts, latest_per_key, with_previous
 from evenkeel.operators.ranking import ntile, with_percent_rank, with_row_number
 
 # The labels, patterns and limits of the call-driver and contact rules.
@@ -100,13 +100,10 @@ def call_drivers(calls: DataFrame, dispositions: DataFrame) -> DataFrame:
 def repeat_contacts(interactions: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Contacts within 72 hours of the customer's previous one; ties ordered by interaction."""
     known = interactions.where(F.col("customer_ref").isNotNull() & (F.col("customer_ref") != ""))
-    stepped = with_previous(
-        known.select("interaction_id", "customer_ref", "channel", "start_ts"),
-        ["customer_ref"],
-        ["start_ts", "interaction_id"],
-        {"prev_contact_ts": "start_ts"},
-        rows_per_chunk,
-    )
+    rows = known.select("interaction_id", "customer_ref", "channel", "start_ts")
+    cuts = find_cuts(rows, ["customer_ref"], "start_ts", rows_per_chunk)
+    order = ["start_ts", "interaction_id"]
+    stepped = with_previous(rows, ["customer_ref"], order, {"prev_contact_ts": "start_ts"}, cuts)
     gap = epoch_seconds(F.col("start_ts")) - epoch_seconds(F.col("prev_contact_ts"))
     return stepped.withColumn("repeat_within_72h", F.when(gap <= REPEAT_SECONDS, 1).otherwise(0))
 

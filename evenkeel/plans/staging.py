@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.canon import column
 from evenkeel.functions.scalars import epoch_to_timestamp
 from evenkeel.operators.merge import DELETE, apply_merge, latest_changes
-from evenkeel.operators.ordered import ROWS_PER_CHUNK, with_running_sum
+from evenkeel.operators.ordered import ROWS_PER_CHUNK, find_cuts, with_running_sum
 
 
 def invoices_from_raw(raw: DataFrame, epoch_column: str = "issued_ms", upper_case_op: bool = False) -> DataFrame:
@@ -57,7 +57,8 @@ def ivr_path(
 ) -> DataFrame:
     """(session, hop, menu): the path as numbered rows, so that no session has to fit in one value."""
     steps = events.select(session, at, tie_break, menu).withColumn("_one", F.lit(1))
-    numbered = with_running_sum(steps, [session], [at, tie_break], "_one", "hop", rows_per_chunk)
+    cuts = find_cuts(steps, [session], at, rows_per_chunk)
+    numbered = with_running_sum(steps, [session], [at, tie_break], "_one", "hop", cuts)
     return numbered.select(session, "hop", menu)
 
 

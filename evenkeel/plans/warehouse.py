@@ -281,7 +281,7 @@ def spark_text(sql: str) -> str:
 
 def ansi_text(sql: str) -> str:
     named = re.sub(r"\{(\w+)\}", r"\1", sql)
-    return re.sub(r"@MS\((\w+)\)", r"epoch_ms(\1)", named)
+    return re.sub(r"@MS\((\w+)\)", r"(epoch_us(\1) // 1000)", named)
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
