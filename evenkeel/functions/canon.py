@@ -39,7 +39,7 @@ def type_of(df: DataFrame, name: str) -> T.DataType | None:
 
 def trim_zeros(text: Column) -> Column:
     """Drop the trailing zeros, then a bare point, of a text that has a point."""
-    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    return F.when(text.endswith("0"), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
 
 
 def decimal_text(col: Column, scale: int) -> Column:
@@ -48,17 +48,24 @@ def decimal_text(col: Column, scale: int) -> Column:
 
 
 def double_text(col: Column, decimals: int) -> Column:
+    """A float rounded half up at ``decimals``; where it has no room for a fraction, all its digits.
+
+    Between 0.001 and 10**7 Spark prints a double plainly, so a short fraction needs no decimal.
+    """
     x = col.cast("double")
-    rounded = F.round(x, decimals)
-    # 32 integer digits fit next to 6 decimals; beyond, a double has no fraction left.
-    fits = F.abs(x) < F.lit(1e32)
-    small = trim_zeros(rounded.try_cast("decimal(38,6)" if decimals <= 6 else "decimal(38,18)").cast("string"))
+    size = F.abs(x)
+    printed = x.cast("string")
+    short = F.instr(printed, ".") >= F.length(printed) - decimals
+    plain = (size >= F.lit(1e-3)) & (size < F.lit(1e7)) & short
+    whole = F.substring_index(printed, ".", 1)
+    fits = size < F.lit(10.0 ** (38 - decimals))  # false for NaN, which sorts above all
     return (
-        F.when(F.isnan(x), NAN_TOKEN)
+        F.when(plain, F.when(printed.endswith(".0"), whole).otherwise(printed))
+        .when(fits, decimal_text(x.cast(f"decimal(38,{decimals})"), decimals))
+        .when(F.isnan(x), NAN_TOKEN)
         .when(x == F.lit(float("inf")), INFINITY_TOKEN)
         .when(x == F.lit(float("-inf")), NEGATIVE_INFINITY_TOKEN)
-        .when(fits, F.coalesce(small, rounded.cast("string")))
-        .otherwise(F.format_string("%.0f", x))
+        .when(x.isNotNull(), F.format_string("%.0f", x))
     )
 
 
@@ -145,8 +152,9 @@ def fast_canonical(col: Column, dtype: T.DataType) -> Column:
         text = F.coalesce(scaled, col.cast("string"))
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
         x = col.cast("double")
-        micro = F.round(x * F.lit(1e6)).try_cast("decimal(38,0)").cast("string")
-        text = F.coalesce(micro, x.cast("string"))
+        micro = F.round(x * F.lit(1e6))
+        wide = F.coalesce(micro.try_cast("decimal(38,0)").cast("string"), x.cast("string"))
+        text = F.when(F.abs(micro) < F.lit(9e18), micro.cast("bigint").cast("string")).otherwise(wide)
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         text = F.date_trunc("second", col).cast("string")
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):

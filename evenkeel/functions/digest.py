@@ -44,46 +44,44 @@ def fast_row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.md5(fast_row_text(df, columns))
 
 
-def sum60(value: Column, name: str, condition: Column | None = None) -> list[Column]:
-    """Three 20-bit limb sums of a 60-bit value, exact up to 2**43 rows."""
-    mask = F.lit((1 << 20) - 1)
-    limbs = [F.shiftright(value, 40), F.shiftright(value, 20).bitwiseAND(mask), value.bitwiseAND(mask)]
-    if condition is not None:
-        limbs = [F.when(condition, limb) for limb in limbs]
-    return [F.coalesce(F.sum(limb), F.lit(0)).alias(f"{name}{i}") for i, limb in enumerate(limbs)]
+def sum60(value: str, name: str, condition: str | None = None) -> list[Column]:
+    """Three 20-bit limb sums of a 60-bit column, exact up to 2**43 rows."""
+    filtered = f" FILTER (WHERE {condition})" if condition else ""
+    return [
+        F.expr(f"coalesce(sum(shiftright({value}, {shift}) & 1048575){filtered}, 0L) AS {name}{i}")
+        for i, shift in enumerate((40, 20, 0))
+    ]
 
 
 def join60(name: str) -> Column:
     """The sum whose limbs ``sum60`` folded, as decimal(38,0)."""
-    terms = [f"cast({name}0 as decimal(38,0)) * {1 << 40}BD", f"cast({name}1 as decimal(38,0)) * {1 << 20}BD",
-             f"cast({name}2 as decimal(38,0))"]
-    return F.expr(f"cast({' + '.join(terms)} as decimal(38,0))")
+    terms = [f"cast({name}{i} AS decimal(38,0)) * {1 << shift}BD" for i, shift in enumerate((40, 20, 0))]
+    return F.expr(f"cast({' + '.join(terms)} AS decimal(38,0))")
 
 
 def _fold256(hashes: DataFrame) -> DataFrame:
     """Fold a ``hash`` column of SHA-256 texts into count, limb sums and word xors."""
     words = hashes.select(*[hash_word(F.col("hash"), w).alias(f"w{w}") for w in WORDS])
-    aggregates = [F.count(F.lit(1)).alias("row_count")]
+    folds = ["count(1) AS row_count"]
     for w in WORDS:
-        word = F.col(f"w{w}")
-        aggregates.append(F.coalesce(F.bit_xor(word), F.lit(0)).alias(f"x{w}"))
+        folds.append(f"coalesce(bit_xor(w{w}), 0L) AS x{w}")
         for i in LIMBS:
-            limb = F.shiftrightunsigned(word, 48 - 16 * i).bitwiseAND(F.lit(0xFFFF))
-            aggregates.append(F.coalesce(F.sum(limb), F.lit(0)).alias(f"s{w}_{i}"))
-    return words.agg(*aggregates)
+            folds.append(f"coalesce(sum(shiftrightunsigned(w{w}, {48 - 16 * i}) & 65535L), 0L) AS s{w}_{i}")
+    return words.agg(*[F.expr(f) for f in folds])
 
 
 def _carried() -> Column:
     """The 16 limb sums as one number modulo 2**256, in 64 hex digits."""
-    limbs = F.array(*[F.col(f"s{w}_{i}") for w in reversed(WORDS) for i in reversed(LIMBS)])
-
-    def step(acc: Column, limb: Column) -> Column:
-        total = acc["carry"] + limb
-        digits = F.lpad(F.lower(F.hex(total.bitwiseAND(F.lit(0xFFFF)))), 4, "0")
-        return F.struct(F.shiftright(total, 16).alias("carry"), F.concat(digits, acc["digits"]).alias("digits"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("digits"))
-    return F.aggregate(limbs, start, step, lambda acc: acc["digits"])
+    limbs = ", ".join(f"s{w}_{i}" for w in reversed(WORDS) for i in reversed(LIMBS))
+    return F.expr(
+        f"""aggregate(
+            array({limbs}),
+            named_struct('carry', 0L, 'digits', ''),
+            (acc, limb) -> named_struct(
+                'carry', shiftright(acc.carry + limb, 16),
+                'digits', concat(lpad(lower(hex((acc.carry + limb) & 65535L)), 4, '0'), acc.digits)),
+            acc -> acc.digits)"""
+    )
 
 
 def fingerprint(hashes: DataFrame) -> DataFrame:
@@ -93,7 +91,7 @@ def fingerprint(hashes: DataFrame) -> DataFrame:
     digest is the SHA-256 of ``count:sum:xor`` in hex without leading zeros.
     """
     folded = _fold256(hashes)
-    xor_hex = F.concat(*[F.lower(F.lpad(F.hex(F.col(f"x{w}")), 16, "0")) for w in WORDS])
+    xor_hex = F.expr("lower(concat(" + ", ".join(f"lpad(hex(x{w}), 16, '0')" for w in WORDS) + "))")
     shown = folded.select("row_count", _carried().alias("sum_hex"), xor_hex.alias("xor_hex"))
     short = [F.regexp_replace(F.col(c), "^0+(?=.)", "") for c in ("sum_hex", "xor_hex")]
     digest = F.sha2(F.concat_ws(":", F.col("row_count").cast("string"), *short), 256)
@@ -112,7 +110,7 @@ def exact_fingerprint(
 def fast_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row (row_count, hash_sum): count and sum of the 60-bit MD5 prefixes."""
     rows = df.select(prefix60(fast_row_hash(df, columns)).alias("h"))
-    folded = rows.agg(F.count(F.lit(1)).alias("row_count"), *sum60(F.col("h"), "s"))
+    folded = rows.agg(F.count(F.lit(1)).alias("row_count"), *sum60("h", "s"))
     return folded.select("row_count", join60("s").alias("hash_sum"))
 
 
@@ -121,5 +119,5 @@ def bucket_fingerprints(df: DataFrame, key: Column, columns: Sequence[str], buck
     rows = df.select(
         key_bucket(key.cast("string"), buckets).alias("bucket"), prefix60(fast_row_hash(df, columns)).alias("h")
     )
-    folded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("row_count"), *sum60(F.col("h"), "s"))
+    folded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("row_count"), *sum60("h", "s"))
     return folded.select("bucket", "row_count", join60("s").alias("hash_sum"))

@@ -41,6 +41,15 @@ def lacks_scale(declared: str | T.DataType) -> bool:
     return isinstance(declared, str) and bool(re.fullmatch(DECIMAL_WORDS + r"\s*(\(\s*\d+\s*\))?", declared.strip()))
 
 
+# Nested kinds that may be declared without their inner types.
+OUTER_KINDS = {"array": "array<string>", "struct": "struct<>", "record": "struct<>", "map": "map<string,string>"}
+
+
+def is_outer_kind(declared: str | T.DataType) -> bool:
+    """True for a nested declaration that leaves its inner types open."""
+    return isinstance(declared, str) and declared.strip().lower() in OUTER_KINDS
+
+
 def spark_type(declared: str | T.DataType) -> T.DataType:
     """A declared type as a Spark type; nested types are written as Spark DDL."""
     if isinstance(declared, T.DataType):
@@ -48,7 +57,7 @@ def spark_type(declared: str | T.DataType) -> T.DataType:
     text = declared.strip()
     if lacks_scale(text):
         return T.DecimalType(38, 9)
-    scalar = SPELLINGS.get(re.sub(r"\(.*\)$", "", text).strip().lower())
+    scalar = OUTER_KINDS.get(text.lower()) or SPELLINGS.get(re.sub(r"\(.*\)$", "", text).strip().lower())
     return T.DataType.fromDDL(scalar or re.sub(DECIMAL_WORDS, "decimal", text))
 
 

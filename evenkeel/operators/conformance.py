@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from evenkeel.functions import scalars
 from evenkeel.functions.canon import column, type_of
-from evenkeel.functions.logical import lacks_scale, logical_name, signature, spark_type, target_type, types_agree
+from evenkeel.functions.logical import is_outer_kind, lacks_scale, logical_name, signature, spark_type, target_type, types_agree
 from evenkeel.operators.checks import to_checks, union_all
 
 
@@ -32,10 +32,6 @@ def _type_text(dtype: T.DataType) -> str:
     return signature(dtype)
 
 
-def _declared_nested(declared: str | T.DataType) -> bool:
-    return not isinstance(declared, str) or "<" in declared
-
-
 def _loses_digits(col: Column, dtype: T.DataType, scale: int) -> Column | None:
     if isinstance(dtype, T.DecimalType) and dtype.scale <= scale:
         return None
@@ -79,8 +75,8 @@ def conformance_profile(df: DataFrame, expected: Sequence[ExpectedColumn], scan_
         unscaled = lacks_scale(want.type)
         if unscaled:
             static.append(_static(want.name, "declared_scale", False, "a scale", str(want.type)))
-        deep = _declared_nested(want.type)
-        agree = types_agree(wanted, dtype) if deep and not unscaled else logical_name(wanted) == logical_name(dtype)
+        shallow = unscaled or is_outer_kind(want.type)
+        agree = logical_name(wanted) == logical_name(dtype) if shallow else types_agree(wanted, dtype)
         static.append(_static(want.name, "type", agree, _type_text(wanted), _type_text(dtype)))
         if not scan_values:
             continue

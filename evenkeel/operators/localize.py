@@ -11,14 +11,13 @@ from evenkeel.functions import digest
 from evenkeel.functions.canon import FLOAT_DECIMALS, canonical, column, row_text, type_of
 
 
-def _hashed(df: DataFrame, key: Sequence[str], columns: Sequence[str], exact: bool, buckets: int) -> DataFrame:
+def _key_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> Column:
+    return digest.key_bucket(F.concat_ws("\x1f", *[canonical(column(k), type_of(df, k)) for k in key]), buckets)
+
+
+def _row_hash(df: DataFrame, columns: Sequence[str], exact: bool) -> Column:
     text = digest.exact_row_hash(df, columns) if exact else digest.fast_row_hash(df, columns)
-    key_text = F.concat_ws("\x1f", *[canonical(column(k), type_of(df, k)) for k in key])
-    return df.select(
-        *[column(k).alias(k) for k in key],
-        digest.key_bucket(key_text, buckets).alias("_bucket"),
-        digest.prefix60(text).alias("_hash"),
-    )
+    return digest.prefix60(text).alias("_hash")
 
 
 def _compared(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -28,17 +27,13 @@ def _compared(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFr
     the shuffle and no rows are paired with each other.
     """
     both = source.withColumn("_s", F.lit(True)).unionByName(target.withColumn("_s", F.lit(False)))
-    is_source = F.col("_s")
     folded = both.groupBy(*by).agg(
-        F.count_if(is_source).alias("n_source"),
-        F.count_if(~is_source).alias("n_target"),
-        *digest.sum60(F.col("_hash"), "s", is_source),
-        *digest.sum60(F.col("_hash"), "t", ~is_source),
+        F.expr("count_if(_s) AS n_source"),
+        F.expr("count_if(NOT _s) AS n_target"),
+        *digest.sum60("_hash", "s", "_s"),
+        *digest.sum60("_hash", "t", "NOT _s"),
     )
-    same = F.col("n_source") == F.col("n_target")
-    for i in range(3):
-        same = same & (F.col(f"s{i}") == F.col(f"t{i}"))
-    return folded.where(~same)
+    return folded.where("NOT (n_source = n_target AND s0 = t0 AND s1 = t1 AND s2 = t2)")
 
 
 def differing_keys(
@@ -51,22 +46,25 @@ def differing_keys(
 ) -> DataFrame:
     """(key..., side, n_source, n_target) for each key whose rows differ.
 
-    ``side`` is only_source, only_target or differs. With ``buckets`` set, a first pass folds
-    both sides per hash bucket of the key, and only rows of unequal buckets are shuffled by
-    key. The broadcast list holds at most ``buckets`` numbers. Pass None where most buckets
-    are expected to differ: the first pass would then only add a scan.
+    ``side`` is only_source, only_target or differs. With ``buckets`` set, a first job folds both
+    sides per hash bucket of the key and brings back the unequal buckets, at most ``buckets``
+    numbers; only their rows are hashed again and shuffled by key. Pass None where most buckets
+    are expected to differ: the first job would then only add a scan.
     """
-    s = _hashed(source, key, columns, exact, buckets or 1)
-    t = _hashed(target, key, columns, exact, buckets or 1)
     if buckets is not None:
-        suspects = F.broadcast(_compared(s, t, ["_bucket"]).select("_bucket"))
-        s, t = (df.join(suspects, "_bucket", "left_semi") for df in (s, t))
+        folded = [
+            df.select(_key_bucket(df, key, buckets).alias("_bucket"), _row_hash(df, columns, exact))
+            for df in (source, target)
+        ]
+        unequal = [row["_bucket"] for row in _compared(*folded, ["_bucket"]).select("_bucket").collect()]
+        source, target = (df.where(_key_bucket(df, key, buckets).isin(unequal)) for df in (source, target))
+    hashed = [df.select(*[column(k).alias(k) for k in key], _row_hash(df, columns, exact)) for df in (source, target)]
     side = (
         F.when(F.col("n_target") == 0, "only_source")
         .when(F.col("n_source") == 0, "only_target")
         .otherwise("differs")
     )
-    return _compared(s, t, list(key)).select(*key, side.alias("side"), "n_source", "n_target")
+    return _compared(*hashed, list(key)).select(*key, side.alias("side"), "n_source", "n_target")
 
 
 def key_sample(differences: DataFrame, key: Sequence[str], n: int = 10) -> DataFrame:
