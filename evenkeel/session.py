@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,17 @@ def require_session_rules(spark: SparkSession) -> None:
         raise ValueError("spark.sql.session.timeZone must be UTC")
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of one call."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names for checkpoints.
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from evenkeel.functions.canon import column
 from evenkeel.functions.logical import spark_type
+from evenkeel.session import setting
 
 FORMATS = ("parquet", "csv", "json", "avro", "orc")
 Schema = T.StructType | str | None
@@ -48,20 +49,11 @@ def read_files(
     if partition_prefix is not None:
         reader = reader.option("basePath", partition_prefix)
         if partition_types == "strings":
-            return _with_string_partitions(spark, reader, path)
+            with setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+                return reader.load(path)
     return reader.load(path)
 
 
-def _with_string_partitions(spark: SparkSession, reader, path) -> DataFrame:
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return reader.load(path)
-    finally:
-        spark.conf.set(key, before)
-
-
 def _read_csv_skipping(
     spark: SparkSession, path, schema: Schema, infer: bool, delimiter: str, skip: int
 ) -> DataFrame:

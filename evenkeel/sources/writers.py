@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions import digest
 from evenkeel.functions.canon import column
 from evenkeel.operators.checks import side_by_side, to_checks, union_all
+from evenkeel.session import setting
 from evenkeel.sources.readers import Schema, read_files
 
 
@@ -52,8 +53,9 @@ def write_bucketed(
 
 def insert_partitions(staged: DataFrame, table: str) -> None:
     """Replace only the partitions the staged rows belong to."""
-    columns = staged.sparkSession.table(table).columns
-    staged.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    spark = staged.sparkSession
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        staged.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
 def export_json(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
