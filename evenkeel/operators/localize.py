@@ -36,6 +36,23 @@ def _compared(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFr
     return folded.where("NOT (n_source = n_target AND s0 = t0 AND s1 = t1 AND s2 = t2)")
 
 
+def _unequal_buckets(source: DataFrame, target: DataFrame) -> list[int]:
+    """Buckets whose folded hashes differ: at most as many numbers as there are buckets."""
+    return [row["_bucket"] for row in _compared(source, target, ["_bucket"]).select("_bucket").collect()]
+
+
+def _surplus(both: DataFrame, hash60: Column, by: Sequence[str], buckets: int | None) -> DataFrame:
+    """(by..., side, copies) of a frame of tagged rows, first narrowed to unequal hash buckets."""
+    if buckets is not None:
+        bucket = F.pmod(hash60, F.lit(buckets))
+        folded = both.select(bucket.alias("_bucket"), hash60.alias("_hash"), (F.col("_d") > 0).alias("_s"))
+        sides = [folded.where(c).drop("_s") for c in ("_s", "NOT _s")]
+        both = both.where(bucket.isin(_unequal_buckets(*sides)))
+    surplus = both.groupBy(*by).agg(F.sum("_d").alias("_d")).where(F.col("_d") != 0)
+    side = F.when(F.col("_d") > 0, "only_source").otherwise("only_target")
+    return surplus.select(*by, side.alias("side"), F.abs("_d").alias("copies"))
+
+
 def differing_keys(
     source: DataFrame,
     target: DataFrame,
@@ -56,7 +73,7 @@ def differing_keys(
             df.select(_key_bucket(df, key, buckets).alias("_bucket"), _row_hash(df, columns, exact))
             for df in (source, target)
         ]
-        unequal = [row["_bucket"] for row in _compared(*folded, ["_bucket"]).select("_bucket").collect()]
+        unequal = _unequal_buckets(*folded)
         source, target = (df.where(_key_bucket(df, key, buckets).isin(unequal)) for df in (source, target))
     hashed = [df.select(*[column(k).alias(k) for k in key], _row_hash(df, columns, exact)) for df in (source, target)]
     side = (
@@ -78,24 +95,27 @@ def multiset_difference(
     columns: Sequence[str],
     decimals: int = FLOAT_DECIMALS,
     numeric_strings: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """(row, side, copies): canonical rows one side holds more often, and how many more."""
-    row = "row"
-    both = source.select(
-        row_text(source, columns, decimals, numeric_strings).alias(row), F.lit(1).alias("d")
-    ).unionByName(target.select(row_text(target, columns, decimals, numeric_strings).alias(row), F.lit(-1).alias("d")))
-    surplus = both.groupBy(row).agg(F.sum("d").alias("d")).where(F.col("d") != 0)
-    side = F.when(F.col("d") > 0, "only_source").otherwise("only_target")
-    return surplus.select(row, side.alias("side"), F.abs("d").alias("copies"))
+    """(row, side, copies): canonical rows one side holds more often, and how many more.
+
+    With ``buckets``, a first job finds the hash buckets that differ, and only their rows are
+    shuffled: right for large frames that are mostly equal.
+    """
+    texts = [
+        df.select(row_text(df, columns, decimals, numeric_strings).alias("row"), F.lit(d).alias("_d"))
+        for df, d in ((source, 1), (target, -1))
+    ]
+    return _surplus(texts[0].unionByName(texts[1]), digest.prefix60(F.md5("row")), ["row"], buckets)
 
 
-def row_difference(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
+def row_difference(
+    source: DataFrame, target: DataFrame, columns: Sequence[str], buckets: int | None = None
+) -> DataFrame:
     """(columns..., side, copies): as ``multiset_difference`` on the typed rows themselves."""
     names = list(columns)
     both = source.select(*names, F.lit(1).alias("_d")).unionByName(target.select(*names, F.lit(-1).alias("_d")))
-    surplus = both.groupBy(*names).agg(F.sum("_d").alias("_d")).where(F.col("_d") != 0)
-    side = F.when(F.col("_d") > 0, "only_source").otherwise("only_target")
-    return surplus.select(*names, side.alias("side"), F.abs("_d").alias("copies"))
+    return _surplus(both, F.shiftrightunsigned(F.xxhash64(*names), 4), names, buckets)
 
 
 def difference_summary(differences: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from evenkeel.functions.canon import column, type_of
 from evenkeel.session import durable
 
 ROWS_PER_CHUNK = 2_000_000
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +58,8 @@ def _renamed(keys: Sequence[str]) -> list[str]:
 def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Cuts:
     """Run the sizing job: keys with more than ``rows_per_chunk`` rows, and their range of ``order``.
 
-    There are at most rows / rows_per_chunk of them; they are kept as a written table.
+    There are at most rows / rows_per_chunk of them; they are kept as a written table, which is
+    only broadcast when its counted rows are few.
     """
     placed = df.select(*[column(k).alias(r) for k, r in zip(keys, _renamed(keys))], _position(df, order).alias("_pos"))
     sizes = placed.groupBy(*_renamed(keys)).agg(
@@ -70,7 +72,10 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: in
         F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("bigint").alias("_parts"),
     )
     table = durable(large)
-    return Cuts(tuple(keys), order, None if table.isEmpty() else table)
+    n = table.count()
+    if n == 0:
+        return Cuts(tuple(keys), order, None)
+    return Cuts(tuple(keys), order, F.broadcast(table) if n <= BROADCAST_ROWS else table)
 
 
 def _chunked(df: DataFrame, cuts: Cuts) -> DataFrame:

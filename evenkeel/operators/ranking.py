@@ -26,7 +26,7 @@ def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_num
     part = F.shiftright(F.col("_id"), PARTITION_SHIFT)
     inside = F.col("_id").bitwiseAND(F.lit((1 << PARTITION_SHIFT) - 1))
     placed = placed.select(*[column(c) for c in df.columns], part.alias("_part"), inside.alias("_inside"))
-    # one row per partition of the sorted frame
+    # one row per partition of the sorted frame, so both these windows and the broadcast are small
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     everywhere = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size")).select(
@@ -34,7 +34,7 @@ def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_num
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
         F.sum("_size").over(everywhere).alias(f"{name}_of"),
     )
-    numbered = placed.join(offsets, "_part")
+    numbered = placed.join(F.broadcast(offsets), "_part")
     rn = F.col("_offset") + F.col("_inside") + 1
     return numbered.select(*[column(c) for c in df.columns], rn.alias(name), f"{name}_of")
 

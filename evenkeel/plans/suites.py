@@ -169,7 +169,7 @@ def localize_sample(orders, orders_target):
 @query
 def multiset_diff(orders, orders_target):
     columns = ["o_custkey", "o_orderstatus", "o_totalprice"]
-    return localize.multiset_difference(orders, orders_target, columns).withColumn(
+    return localize.multiset_difference(orders, orders_target, columns, buckets=256).withColumn(
         "row", F.replace("row", F.lit("\x1f"), F.lit("|"))
     )
 

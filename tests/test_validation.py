@@ -80,8 +80,11 @@ def test_equal_sums_do_not_hide(spark):
     a = spark.createDataFrame([(i,) for i in (1, 1, 2)], "v int")
     b = spark.createDataFrame([(i,) for i in (1, 2, 2)], "v int")
     assert verdicts(parity.rowset_parity("t", a, b)) == {"t": "FAIL"}
-    got = {(r.row, r.side, r.copies) for r in localize.multiset_difference(a, b, ["v"]).collect()}
-    assert got == {("1", "only_source", 1), ("2", "only_target", 1)}
+    for buckets in (None, 2, 64):
+        got = {tuple(r) for r in localize.multiset_difference(a, b, ["v"], buckets=buckets).collect()}
+        assert got == {("1", "only_source", 1), ("2", "only_target", 1)}
+        got = {tuple(r) for r in localize.row_difference(a, b, ["v"], buckets).collect()}
+        assert got == {(1, "only_source", 1), (2, "only_target", 1)}
 
 
 def test_query_parity(spark, invoices):
