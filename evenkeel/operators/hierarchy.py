@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.canon import column
 from evenkeel.operators.checks import union_all
-from evenkeel.session import durable
 
 
 def descend(
@@ -23,25 +22,30 @@ def descend(
 ) -> DataFrame:
     """(node_id, keep..., root_id, depth, path) for each node within ``max_depth`` of a root.
 
-    A root has no parent. Cycles and nodes under a missing parent never appear. One join per
-    level, with the level above written out first, so that no level is computed twice; the
-    walk ends with the first empty level.
+    A root has no parent. Cycles and nodes under a missing parent never appear. There is one
+    join per level; the levels below reuse its exchange, so no level is shuffled twice.
     """
     columns = list(dict.fromkeys([node_id, *keep]))
-    level = nodes.where(column(parent_id).isNull()).select(
-        *columns, column(node_id).alias("root_id"), F.lit(0).alias("depth"), column(label).alias("path")
+    roots = nodes.where(column(parent_id).isNull())
+    level = roots.select(
+        *columns,
+        column(node_id).alias("root_id"),
+        F.lit(0).alias("depth"),
+        column(label).alias("path"),
     )
+    levels = [level]
     children = nodes.where(column(parent_id).isNotNull()).select(
         *columns, column(parent_id).alias("_parent"), column(label).alias("_label")
     )
-    levels = []
-    for depth in range(max_depth + 1):
-        level = durable(level)
-        levels.append(level)
-        if depth == max_depth or level.isEmpty():
-            break
-        above = level.select(column(node_id).alias("_parent"), "root_id", F.col("path").alias("_path"))
-        level = children.join(above, "_parent").select(
-            *columns, "root_id", F.lit(depth + 1).alias("depth"), F.concat("_path", F.lit(separator), "_label").alias("path")
+    for _ in range(max_depth):
+        above = level.select(
+            column(node_id).alias("_above"),
+            "root_id",
+            (F.col("depth") + 1).alias("depth"),
+            F.col("path").alias("_path"),
+        )
+        level = children.join(above, F.col("_parent") == F.col("_above")).select(
+            *columns, "root_id", "depth", F.concat("_path", F.lit(separator), "_label").alias("path")
         )
+        levels.append(level)
     return union_all(levels)
