@@ -40,7 +40,8 @@ def compact_date(text: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    """``yyyyMMdd`` of a date as a number."""
+    return F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def iso_date(text: Column) -> Column:

@@ -17,13 +17,10 @@ DELETE = "D"
 
 def _unique_delta(delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The delta with a guard that stops the job when a key occurs twice."""
-    rest = [c for c in delta.columns if c not in keys]
-    row = F.struct(*[column(c) for c in rest])
-    packed = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(row).alias("_row"))
-    once = F.when(F.col("_n") == 1, F.col("_row")).otherwise(
-        F.raise_error(F.lit(f"delta holds a key more than once: {', '.join(keys)}"))
-    )
-    return packed.withColumn("_row", once).select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
+    repeated = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    n = repeated.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    message = F.raise_error(F.lit(f"delta holds a key more than once: {', '.join(keys)}"))
+    return delta.where(F.when(n == 0, F.lit(True)).otherwise(message.cast("boolean")))
 
 
 def apply_merge(

@@ -71,11 +71,10 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: in
         (F.col("_hi") - F.col("_lo")).alias("_span"),
         F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("bigint").alias("_parts"),
     )
-    table = durable(large)
-    n = table.count()
-    if n == 0:
+    if large.isEmpty():
         return Cuts(tuple(keys), order, None)
-    return Cuts(tuple(keys), order, F.broadcast(table) if n <= BROADCAST_ROWS else table)
+    table = durable(large)
+    return Cuts(tuple(keys), order, F.broadcast(table) if table.count() <= BROADCAST_ROWS else table)
 
 
 def _chunked(df: DataFrame, cuts: Cuts) -> DataFrame:

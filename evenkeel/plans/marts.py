@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.scalars import compact_date, epoch_seconds, epoch_to_timestamp, floor_millis, percent, regex_group
+from evenkeel.functions.scalars import date_key, epoch_seconds, epoch_to_timestamp, floor_millis, percent, regex_group
 from evenkeel.operators.hierarchy import descend
 from evenkeel.operators.intervals import followers_within
 from evenkeel.operators.ordered import ROWS_PER_CHUNK, find_cuts, latest_per_key, with_previous
@@ -265,12 +265,11 @@ def shrinkage(
         F.sum("worked_minutes").alias("worked"),
         F.sum(F.col("exception_minutes") + F.col("timeoff_minutes")).alias("lost"),
     )
-    base = folded.join(agents.select("agent_sk", "agent_id", "site_code"), "agent_sk").withColumn(
-        "sched_date", compact_date(F.col("date_key"))
-    )
+    base = folded.join(agents.select("agent_sk", "agent_id", "site_code"), "agent_sk")
     overnight = shifts.where("overnight_flag").select("shift_id", "shift_sk")
-    planned = schedules.select("agent_id", "sched_date", "schedule_id", "shift_id").join(overnight, "shift_id", "left")
-    joined = base.join(planned, ["agent_id", "sched_date"], "left")
+    day = date_key(F.col("sched_date")).alias("date_key")
+    planned = schedules.select("agent_id", day, "schedule_id", "shift_id").join(overnight, "shift_id", "left")
+    joined = base.join(planned, ["agent_id", "date_key"], "left")
     keys = ["date_key", "site_code"]
     sums = [
         F.sum("scheduled").alias("scheduled_minutes"),
