@@ -55,6 +55,12 @@ def _renamed(keys: Sequence[str]) -> list[str]:
     return [f"_key{i}" for i in range(len(keys))]
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A written table that later joins broadcast only when its counted rows are few."""
+    table = durable(df)
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Cuts:
     """Run the sizing job: keys with more than ``rows_per_chunk`` rows, and their range of ``order``.
 
@@ -73,8 +79,7 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: in
     )
     if large.isEmpty():
         return Cuts(tuple(keys), order, None)
-    table = durable(large)
-    return Cuts(tuple(keys), order, F.broadcast(table) if table.count() <= BROADCAST_ROWS else table)
+    return Cuts(tuple(keys), order, _written(large))
 
 
 def _chunked(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -123,7 +128,7 @@ def _with_neighbour(
     nearest = F.min_by(picked, rank) if forward else F.max_by(picked, rank)
     edges = rows.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(nearest.alias("_near"))
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
-    near = durable(_across(edges, keys, step("_near").over(by_chunk)))
+    near = _written(_across(edges, keys, step("_near").over(by_chunk)))
     joined = local.join(near, _same([*keys, "_chunk"], [*_renamed(keys), "_edge_chunk"]), "left")
     filled = [
         F.when(F.col("_edge"), F.col("_across").getField(name)).otherwise(column(name)).alias(name) for name in values
@@ -159,7 +164,7 @@ def with_running_sum(
     local = rows.withColumn("_sum", F.sum(amount).over(Window.partitionBy(*keys, "_chunk").orderBy(*ascending).rowsBetween(*upto)))
     totals = rows.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(F.sum(amount).alias("_total"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = durable(_across(totals, keys, F.sum("_total").over(before)))
+    carried = _written(_across(totals, keys, F.sum("_total").over(before)))
     joined = local.join(carried, _same([*keys, "_chunk"], [*_renamed(keys), "_edge_chunk"]), "left")
     total = F.col("_sum") + F.coalesce(F.col("_across"), F.lit(0))
     return joined.select(*[column(c) for c in df.columns], total.alias(name))
