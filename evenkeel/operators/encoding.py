@@ -108,13 +108,12 @@ def epoch_conversion(
     return union_all([main, audited])
 
 
-def _number(df: DataFrame, name: str) -> Column:
+def _always_fits(df: DataFrame, name: str) -> bool:
+    """True for a type whose every value fits decimal(38,18), so that no text is needed."""
     dtype = type_of(df, name)
     if isinstance(dtype, T.DecimalType):
-        return column(name).cast("decimal(38,18)") if dtype.precision - dtype.scale <= 20 else column(name).try_cast(
-            "decimal(38,18)"
-        )
-    return column(name).try_cast("decimal(38,18)")
+        return dtype.scale <= 18 and dtype.precision - dtype.scale <= 20
+    return isinstance(dtype, T.IntegralType)
 
 
 def decimal_differences(
@@ -125,17 +124,20 @@ def decimal_differences(
     1.50 equals 1.5. Reasons: value, unparseable (text that is no number, unless both sides
     hold the same text), only_source, only_target, duplicate_key.
     """
+    plain = {c for c in columns if _always_fits(source, c) and _always_fits(target, c)}
     values = []
     for df in (source, target):
         mine = {}
         for i, c in enumerate(columns):
-            mine[f"n{i}"] = _number(df, c)
-            mine[f"x{i}"] = F.when(mine[f"n{i}"].isNull(), column(c).cast("string"))
+            mine[f"n{i}"] = column(c).try_cast("decimal(38,18)")
+            if c not in plain:
+                mine[f"x{i}"] = F.when(mine[f"n{i}"].isNull(), column(c).cast("string"))
         values.append(mine)
     both = aligned(source, target, key, *values)
     entries = []
     for i, c in enumerate(columns):
-        s_text, t_text = F.col(f"s_x{i}"), F.col(f"t_x{i}")
+        nothing = F.lit(None).cast("string")
+        s_text, t_text = (nothing, nothing) if c in plain else (F.col(f"s_x{i}"), F.col(f"t_x{i}"))
         unparsed = (s_text.isNotNull() | t_text.isNotNull()) & ~s_text.eqNullSafe(t_text)
         reason = (
             F.when((F.col("s_n") > 1) | (F.col("t_n") > 1), "duplicate_key")

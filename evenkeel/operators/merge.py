@@ -17,7 +17,7 @@ DELETE = "D"
 
 def _unique_delta(delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The delta with a guard that stops the job when a key occurs twice."""
-    repeated = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    repeated = delta.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     n = repeated.agg(F.count(F.lit(1)).alias("_n")).scalar()
     message = F.raise_error(F.lit(f"delta holds a key more than once: {', '.join(keys)}"))
     return delta.where(F.when(n == 0, F.lit(True)).otherwise(message.cast("boolean")))

@@ -238,7 +238,7 @@ SOURCES = {
         FROM {orders} WHERE o_orderkey % 10 = 7""",
     "user_state": """
         SELECT DISTINCT user_id, 'start' AS event_type, CAST(0 AS DOUBLE) AS value FROM {events}
-        WHERE user_id % 3 <> 0""",
+        WHERE value > 200""",
     "user_changes": """
         SELECT user_id, event_type, value, ts AS changed_at, event_id,
                CASE WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS op
