@@ -47,6 +47,23 @@ def decimal_text(col: Column, scale: int) -> Column:
     return trim_zeros(text) if scale > 0 else text
 
 
+def _shortest(x: Column) -> Column:
+    """Scientific text with the fewest digits that read back as ``x``: 15, 16 or 17 of them.
+
+    The JVM itself, before version 19, prints some doubles with more digits than needed.
+    """
+    texts = [F.format_string(f"%.{n}e", x) for n in (14, 15, 16)]
+    return F.when(texts[0].cast("double") == x, texts[0]).when(texts[1].cast("double") == x, texts[1]).otherwise(texts[2])
+
+
+def _written_out(scientific: Column) -> Column:
+    """All digits of a scientific text whose exponent exceeds its digits."""
+    digits = F.replace(F.substring_index(scientific, "e", 1), F.lit("."), F.lit(""))
+    exponent = F.substring_index(scientific, "e", -1).cast("int")
+    fraction = F.length(F.substring_index(F.substring_index(scientific, "e", 1), ".", -1))
+    return F.concat(digits, F.repeat(F.lit("0"), exponent - fraction))
+
+
 def double_text(col: Column, decimals: int) -> Column:
     """A float rounded half up at ``decimals``; where it has no room for a fraction, all its digits.
 
@@ -61,11 +78,12 @@ def double_text(col: Column, decimals: int) -> Column:
     fits = size < F.lit(10.0 ** (38 - decimals))  # false for NaN, which sorts above all
     return (
         F.when(plain, F.when(printed.endswith(".0"), whole).otherwise(printed))
-        .when(fits, decimal_text(x.cast(f"decimal(38,{decimals})"), decimals))
+        .when(size < F.lit(1e9), decimal_text(x.cast(f"decimal(38,{decimals})"), decimals))
+        .when(fits, decimal_text(_shortest(x).cast(f"decimal(38,{decimals})"), decimals))
         .when(F.isnan(x), NAN_TOKEN)
         .when(x == F.lit(float("inf")), INFINITY_TOKEN)
         .when(x == F.lit(float("-inf")), NEGATIVE_INFINITY_TOKEN)
-        .when(x.isNotNull(), F.format_string("%.0f", x))
+        .when(x.isNotNull(), _written_out(_shortest(x)))
     )
 
 
