@@ -64,10 +64,24 @@ def _written_out(scientific: Column) -> Column:
     return F.concat(digits, F.repeat(F.lit("0"), exponent - fraction))
 
 
+def _unusual_double_text(x: Column, decimals: int) -> Column:
+    """Text of a NaN, an infinity or a double from 10**9 on."""
+    fits = F.abs(x) < F.lit(10.0 ** (38 - decimals))  # false for NaN, which sorts above all
+    return (
+        F.when(fits, decimal_text(_shortest(x).cast(f"decimal(38,{decimals})"), decimals))
+        .when(F.isnan(x), NAN_TOKEN)
+        .when(x == F.lit(float("inf")), INFINITY_TOKEN)
+        .when(x == F.lit(float("-inf")), NEGATIVE_INFINITY_TOKEN)
+        .when(x.isNotNull(), _written_out(_shortest(x)))
+    )
+
+
 def double_text(col: Column, decimals: int) -> Column:
     """A float rounded half up at ``decimals``; where it has no room for a fraction, all its digits.
 
     Between 0.001 and 10**7 Spark prints a double plainly, so a short fraction needs no decimal.
+    The unusual values go through an array function, which keeps their code out of the generated
+    method: with them inside it would grow past what the JVM compiles.
     """
     x = col.cast("double")
     size = F.abs(x)
@@ -75,15 +89,10 @@ def double_text(col: Column, decimals: int) -> Column:
     short = F.instr(printed, ".") >= F.length(printed) - decimals
     plain = (size >= F.lit(1e-3)) & (size < F.lit(1e7)) & short
     whole = F.substring_index(printed, ".", 1)
-    fits = size < F.lit(10.0 ** (38 - decimals))  # false for NaN, which sorts above all
     return (
         F.when(plain, F.when(printed.endswith(".0"), whole).otherwise(printed))
         .when(size < F.lit(1e9), decimal_text(x.cast(f"decimal(38,{decimals})"), decimals))
-        .when(fits, decimal_text(_shortest(x).cast(f"decimal(38,{decimals})"), decimals))
-        .when(F.isnan(x), NAN_TOKEN)
-        .when(x == F.lit(float("inf")), INFINITY_TOKEN)
-        .when(x == F.lit(float("-inf")), NEGATIVE_INFINITY_TOKEN)
-        .when(x.isNotNull(), _written_out(_shortest(x)))
+        .otherwise(F.get(F.transform(F.array(x), lambda v: _unusual_double_text(v, decimals)), F.lit(0)))
     )
 
 
