@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import topk
+from evenkeel.llm import topk, winnowing
 from evenkeel.llm.tables import given
 
 
@@ -16,8 +16,14 @@ def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
+def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    found = winnowing.contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
+    return found.drop("hit_spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
+    "op10_winnowing": op10_winnowing,
 }
 
 ORACLES: dict[str, str] = {
@@ -29,4 +35,15 @@ ORACLES: dict[str, str] = {
                    FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op10_winnowing": """
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+             b AS (SELECT item_id, list_filter(regexp_split_to_array(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+             bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(0, len(w) - least(len(w), 10) + 1), lambda i: w[i + 1 : i + least(len(w), 10)])) AS win FROM b WHERE len(w) > 0),
+             n AS (SELECT DISTINCT n FROM bw),
+             dw AS (SELECT doc_id, n, unnest(range(0, len(w) - n + 1)) AS s, unnest(list_transform(range(0, len(w) - n + 1), lambda i: w[i + 1 : i + n])) AS win FROM d, n WHERE len(w) >= n),
+             m AS (SELECT doc_id, s, dw.n, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+             h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id),
+             i AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)""",
 }
