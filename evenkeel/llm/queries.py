@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import topk, winnowing
-from evenkeel.llm.tables import given
+from evenkeel.llm import lm, topk, winnowing
+from evenkeel.llm.tables import given, id_remainder
+
+
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = given(spark, folder, "documents")
+    model = lm.train(documents.where(id_remainder(F.col("doc_id")) != 1))
+    return lm.score(documents, model).select(
+        "doc_id", (id_remainder(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score",
+    )
 
 
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +31,7 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op4_topk": op4_topk,
     "op10_winnowing": op10_winnowing,
 }
