@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import lm, topk, winnowing
+from evenkeel.llm import lm, topk, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -25,6 +25,16 @@ def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return transducer.token_counts(given(spark, folder, "documents"), tokenizer_path())
+
+
 def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     found = winnowing.contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
     return found.drop("hit_spans")
@@ -33,6 +43,7 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op4_topk": op4_topk,
+    "op8_token_counts": op8_token_counts,
     "op10_winnowing": op10_winnowing,
 }
 
