@@ -26,7 +26,9 @@ from evenkeel.llm.arrays import mixed, text_slices, worker_cache
 
 MARK = "▁"
 #: States kept from one slice to the next; characters with a column of their own; long words and their chunks.
-KEPT_STATES, COLUMNS, CHUNK, WARM_UP = 60_000, 255, 2048, 96
+KEPT_STATES, COLUMNS, CHUNK, WARM_UP = 120_000, 255, 2048, 96
+#: Pieces below a trie place that are looked at one by one.
+LISTED = 30
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,6 +51,7 @@ class Vocabulary:
             raise ValueError("a letter of a piece is no piece")
         self.mark_runs = {len(p) for p in self.pieces if not p.strip(MARK)}
         self._runs: dict[int, int] = {}
+        self.halves: dict[str, tuple[str, str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """The tokenizer's pieces for letters that are all known: best pair first, the left one of equals."""
@@ -77,6 +80,38 @@ class Vocabulary:
                 offer(before[i])
         return [p for p in parts if p is not None]
 
+    def halves_of(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces whose merge makes ``piece``, which is its own tokenization; None for a letter."""
+        if len(piece) == 1:
+            return None
+        if piece not in self.halves:
+            saved = self.pieces.pop(piece)
+            self.halves[piece] = tuple(self.merged(piece))
+            self.pieces[piece] = saved
+        return self.halves[piece]
+
+    def stay_apart(self, left: str, right: str) -> bool:
+        """Whether the two pieces next to each other stay as they are.
+
+        Undo the younger piece's last merge again and again, so that the pieces at the border are those of an
+        earlier time; the border is crossed if at some time the two could merge before the next merge that made
+        either of them. Of equal scores the left merge comes first.
+        """
+        age = lambda p: (-self.scores[self.pieces[p]] if len(p) > 1 else float("-inf"))
+        next_left = next_right = float("inf")
+        while True:
+            joined = self.pieces.get(left + right)
+            if joined is not None:
+                at = -self.scores[joined]
+                if at < next_left and at <= next_right:
+                    return False
+            if len(left) == 1 and len(right) == 1:
+                return True
+            if age(left) > age(right) or (age(left) == age(right) and len(left) > 1 and len(right) == 1):
+                next_left, left = age(left), self.halves_of(left)[1]
+            else:
+                next_right, right = age(right), self.halves_of(right)[0]
+
     def mark_tokens(self, n: int) -> int:
         """Tokens of ``n`` word marks in a row that no word has taken."""
         if n not in self._runs:
@@ -108,7 +143,14 @@ class Transducer:
         if len(letters) > COLUMNS:
             self.column[ord(letters[COLUMNS - 1])] = COLUMNS
             self.column[ord(MARK)] = COLUMNS - 1
+        self.below: list[tuple[str, ...] | None] = [None] * len(self.trie)
+        for node in reversed(range(len(self.trie))):
+            parts = [self.below[child] for child in self.trie[node].values()]
+            if all(x is not None for x in parts):
+                pieces = sum(((() if self.ends[child] is None else (self.ends[child],)) + x for child, x in zip(self.trie[node].values(), parts, strict=True)), ())
+                self.below[node] = pieces if len(pieces) <= LISTED else None
         self.apart: dict[tuple[str, str], bool] = {}
+        self.possible: dict[tuple[int, str], frozenset | None] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -135,9 +177,19 @@ class Transducer:
         if left is None:
             return True
         if (left, right) not in self.apart:
-            self.apart[left, right] = self.vocabulary.merged(left + right) == [left, right]
+            self.apart[left, right] = self.vocabulary.stay_apart(left, right)
         return self.apart[left, right]
 
+    def _narrowed(self, node: int, last: str | frozenset | None) -> str | frozenset | None:
+        """What is worth knowing of the piece before: where few pieces may still follow, just which of them can."""
+        if last is None or (pieces := self.below[node]) is None:
+            return last
+        if isinstance(last, frozenset):
+            return last.intersection(pieces)
+        if (node, last) not in self.possible:
+            self.possible[node, last] = frozenset(p for p in pieces if self._stay_apart(last, p))
+        return self.possible[node, last]
+
     def _step(self, state: int, letter: str) -> tuple[int, int]:
         """(next state, tokens emitted)."""
         running, chosen = [], None
@@ -145,10 +197,10 @@ class Transducer:
             if (child := self.trie[node].get(letter)) is None:
                 continue
             piece = self.ends[child]
-            if piece is not None and chosen is None and self._stay_apart(last, piece):
+            if piece is not None and chosen is None and (piece in last if isinstance(last, frozenset) else self._stay_apart(last, piece)):
                 chosen = piece, fewer + 1, (piece == MARK if last is None else alone)
-            if self.trie[child]:
-                running.append((child, last, fewer, alone))
+            if self.trie[child] and (narrow := self._narrowed(child, last)) != frozenset():
+                running.append((child, narrow, fewer, alone))
         piece, emitted, alone = chosen
         return self._state(((0, piece, 0, alone), *((c, p, f - emitted, a) for c, p, f, a in running))), emitted
 
