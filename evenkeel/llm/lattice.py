@@ -213,10 +213,11 @@ def encode_slice(lattice: Lattice, data: np.ndarray, offsets: np.ndarray, n_best
     strange = np.flatnonzero(~lattice.known[letter])
     if len(strange):
         spelled = [ids_of(None, k) for k in strange]
-        parts = np.split(pieces, words.path_of[1:-1])
-        for k, ids in zip(strange, spelled, strict=True):
-            parts[k] = np.array(ids)
-        pieces, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        times = np.ones(len(pieces), np.int64)
+        at = words.path_of[strange]
+        times[at] = sizes[strange] = [len(ids) for ids in spelled]
+        pieces = np.repeat(pieces, times)
+        pieces[ranges((np.cumsum(times) - times)[at], times[at])] = np.concatenate(spelled)
     firsts = np.cumsum(sizes) - sizes
     ids = pieces[ranges(firsts[word], sizes[word])]
     token_heads = np.append(0, np.cumsum(sizes[word]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import lm, topk, transducer, winnowing
+from evenkeel.llm import lattice, lm, topk, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -31,6 +31,13 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = lattice.encode(given(spark, folder, "documents"), tokenizer_path(), keep_ids=False)
+    return found.select(
+        "doc_id", "n_pieces", "score", "ids_sha256", "restored", F.transform("n_best", lambda b: b["score"]).alias("best_scores")
+    )
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.token_counts(given(spark, folder, "documents"), tokenizer_path())
 
@@ -43,6 +50,7 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op4_topk": op4_topk,
+    "op5_pieces": op5_pieces,
     "op8_token_counts": op8_token_counts,
     "op10_winnowing": op10_winnowing,
 }
