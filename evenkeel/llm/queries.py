@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import lattice, lm, topk, transducer, winnowing
+from evenkeel.llm import lattice, lm, secrets, spans, topk, toxicity, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -20,11 +20,28 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.secrets(given(spark, folder, "documents"))
+    base, every = ["assign", "access", "hex"], ["assign", "access", "hex", "entropy"]
+    found = found.withColumn("base", F.array_sort(spans.labelled(base))).withColumn("every", F.array_sort(spans.labelled(every)))
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in every],
+        F.sha2(spans.joined(F.col("base")), 256).alias("base_sha256"), spans.joined(F.col("every")).alias("spans"),
+    )
+
+
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.integer_vectors(given(spark, folder, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = given(spark, folder, "documents"), given(spark, folder, "labels")
+    model = toxicity.train(documents, labels.where(id_remainder(F.col("doc_id")) != 0))
+    found = toxicity.score(documents, model)
+    return found.select("doc_id", (id_remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
@@ -49,8 +66,10 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op3_secrets": op3_secrets,
     "op4_topk": op4_topk,
     "op5_pieces": op5_pieces,
+    "op6_toxicity": op6_toxicity,
     "op8_token_counts": op8_token_counts,
     "op10_winnowing": op10_winnowing,
 }

@@ -85,20 +85,16 @@ def _document_fingerprints(hashes: Column, smallest: Column, lengths: list[int])
         F.array_distinct(smallest),
         lambda x: F.struct(F.lit(WINDOW).alias("n"), _key_and_place(x)[0].alias("key"), _key_and_place(x)[1].alias("place")),
     )
-    runs = [
-        F.when(
-            F.size(hashes) >= n,
-            F.transform(
-                F.sequence(F.lit(0), F.size(hashes) - n),
-                lambda i, n=n: F.struct(
-                    F.lit(n).alias("n"),
-                    F.xxhash64(F.lit("whole"), F.concat_ws(" ", *[F.get(hashes, i + j).cast("string") for j in range(n)])).alias("key"),
-                    i.alias("place"),
-                ),
-            ),
-        ).otherwise(F.array().cast("array<struct<n:int,key:long,place:int>>"))
-        for n in lengths
-    ]
+
+    def runs_of(n: int) -> Column:
+        whole = lambda i: F.concat_ws(" ", *[F.get(hashes, i + j).cast("string") for j in range(n)])
+        found = F.transform(
+            F.sequence(F.lit(0), F.size(hashes) - n),
+            lambda i: F.struct(F.lit(n).alias("n"), F.xxhash64(F.lit("whole"), whole(i)).alias("key"), i.alias("place")),
+        )
+        return F.when(F.size(hashes) >= n, found).otherwise(F.array().cast("array<struct<n:int,key:long,place:int>>"))
+
+    runs = [runs_of(n) for n in lengths]
     return F.concat(found, *runs) if runs else found
 
 
@@ -181,7 +177,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, whose text shares no window with ``benchmark``.
 
-    The verdict belongs to the id and its text, so repeated rows share it.
+    The verdict belongs to the id, so rows of one id stay or go together.
     """
-    bad = contamination(documents, benchmark).where("contaminated")
-    return documents.join(bad.select(F.col("doc_id").alias("bad_id")).distinct(), documents["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti")
+    found = contamination(documents, benchmark).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
+    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
