@@ -126,7 +126,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "label_id")
     # at most ``rows`` pairs of numbers
-    joined = documents.join(F.broadcast(sample), documents["doc_id"] == sample["label_id"]).select("text", "label")
+    texts = documents.select("doc_id", "text")
+    joined = texts.join(F.broadcast(sample), texts["doc_id"] == sample["label_id"]).select("text", "label")
     texts = written(joined, "labelled")
     toxic, clean = texts.where("label = 1").select("text"), texts.where("label <> 1").select("text")
     n_toxic, n_clean = toxic.count(), clean.count()
