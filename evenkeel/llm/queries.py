@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import lattice, lm, secrets, spans, topk, toxicity, transducer, winnowing
+from evenkeel.llm import jaccard, lattice, lm, secrets, spans, topk, toxicity, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -20,6 +20,10 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(given(spark, folder, "documents"))
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.secrets(given(spark, folder, "documents"))
     base, every = ["assign", "access", "hex"], ["assign", "access", "hex", "entropy"]
@@ -66,6 +70,7 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_secrets": op3_secrets,
     "op4_topk": op4_topk,
     "op5_pieces": op5_pieces,

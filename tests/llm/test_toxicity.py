@@ -34,7 +34,7 @@ def model(spark):
         words, toxic = rng.choices(filler, k=30), int(i % 4 == 0)
         if toxic:
             words[rng.randrange(30)] = rng.choice(["vilest", "zwoobar", "zwooqux", "zwoomel"])
-        elif i % 4 == 1:
+        elif i % 40 == 1:
             words[5:7] = ["vilest", "creature"]
         rows.append((i, " ".join(words), i))
         labels.append((i, toxic, 1))
