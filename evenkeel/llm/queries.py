@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import jaccard, lattice, lm, secrets, spans, topk, toxicity, transducer, winnowing
+from evenkeel.llm import jaccard, lattice, lm, sanitise, secrets, spans, topk, toxicity, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -63,6 +63,19 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.token_counts(given(spark, folder, "documents"), tokenizer_path())
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = sanitise.personal_data(given(spark, folder, "documents"))
+    base = F.array_sort(F.transform("entities", lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end"))))
+    found = found.select("doc_id", base.alias("base"), "terms")
+    names = F.array(*[F.lit(k) for k in sanitise.KINDS])
+    said = F.transform("base", lambda e: F.concat_ws(":", F.element_at(names, e["kind"] + 1), e["start"].cast("string"), e["end"].cast("string")))
+    terms = F.transform("terms", lambda t: F.concat_ws(":", F.lit("term"), t["start"].cast("string"), t["end"].cast("string")))
+    return found.select(
+        "doc_id", *[F.size(F.filter("base", lambda e: e["kind"] == F.lit(k))).cast("long").alias(f"n_{n}") for k, n in enumerate(sanitise.KINDS)],
+        F.size("terms").cast("long").alias("n_term"), F.sha2(F.array_join(said, ","), 256).alias("base_sha256"), F.array_join(F.concat(said, terms), ",").alias("spans"),
+    )
+
+
 def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     found = winnowing.contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
     return found.drop("hit_spans")
@@ -76,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pieces": op5_pieces,
     "op6_toxicity": op6_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_personal_data": op9_personal_data,
     "op10_winnowing": op10_winnowing,
 }
 
