@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import jaccard, lattice, lm, sanitise, secrets, spans, topk, toxicity, transducer, winnowing
+from evenkeel.llm import jaccard, lattice, line_dedup, lm, sanitise, secrets, spans, topk, toxicity, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -59,6 +59,10 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.removed_lines(given(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.token_counts(given(spark, folder, "documents"), tokenizer_path())
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
     "op5_pieces": op5_pieces,
     "op6_toxicity": op6_toxicity,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_personal_data": op9_personal_data,
     "op10_winnowing": op10_winnowing,
@@ -102,6 +107,18 @@ ORACLES: dict[str, str] = {
                    FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op7_line_dedup": """
+        WITH l AS (SELECT doc_id, unnest(range(0, len(x)))::INTEGER AS line, unnest(x) AS t FROM
+                     (SELECT doc_id, string_split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS x FROM documents)),
+             w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM l),
+             s AS (SELECT DISTINCT doc_id, line, unnest(list_transform(range(0, len(w) - 4), lambda i: w[i + 1 : i + 5])) AS s FROM w WHERE len(w) >= 5),
+             n AS (SELECT doc_id, line, count(*) AS n FROM s GROUP BY ALL),
+             o AS (SELECT a.doc_id, a.line, b.doc_id AS other, b.line AS other_line, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND (b.doc_id, b.line) < (a.doc_id, a.line) GROUP BY ALL),
+             g AS (SELECT DISTINCT o.doc_id, o.line FROM o JOIN n x ON (x.doc_id, x.line) = (o.doc_id, o.line) JOIN n y ON (y.doc_id, y.line) = (o.other, o.other_line)
+                   WHERE 100 * k >= 75 * (x.n + y.n - k)),
+             r AS (SELECT doc_id, count(*) AS n, string_agg(line::VARCHAR, ',' ORDER BY line) AS lines FROM g GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines, coalesce(n, 0) AS n_removed, coalesce(lines, '') AS removed
+        FROM documents LEFT JOIN r USING (doc_id)""",
     "op10_winnowing": """
         WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
              b AS (SELECT item_id, list_filter(regexp_split_to_array(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
