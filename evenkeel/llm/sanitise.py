@@ -90,13 +90,14 @@ def disclosures(documents: DataFrame, found: DataFrame, around: DataFrame) -> Da
     """(entity, term, disclosure) of the terms that reach ``GENERALISE``; every text of ``documents`` counts."""
     per_text = around.groupBy("entity", "term").agg(F.count_distinct("same").alias("texts"), F.count_distinct("row").alias("n_te"))
     pairs = written(per_text.where(F.col("texts") >= LEAST_TEXTS).drop("texts"), "pairs")
+    # counted before the join: a semi join first would move every word of every text, not one row a word and task
     words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), _NOT_LETTERS))
     of_term = documents.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     value = F.transform("entities", lambda e: F.concat_ws(":", e["kind"].cast("string"), F.lower(e["value"])))
     of_entity = found.select(F.explode(F.array_distinct(value)).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     n = F.lit(float(max(found.count(), 1)))
     told, most = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e"))), F.log2(n / F.col("n_e"))
-    measured = pairs.join(of_entity, "entity").join(of_term.join(pairs.select("term").distinct(), "term", "left_semi"), "term")
+    measured = pairs.join(of_entity, "entity").join(of_term, "term")
     return measured.withColumn("disclosure", F.when(most > 0, told / most).otherwise(F.lit(0.0))).where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
 
 
