@@ -275,8 +275,13 @@ def _searched(table: pa.Table) -> pa.Table:
     for rows in clusters.values():
         rows = list({r[0]: r for r in rows}.values())
         digests = [r[0] for r in rows]
+        joined, least = _Union(len(rows)), list(digests)
         for i, j in divide_skip([r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows]):
-            found.append((digests[i], digests[j]))
+            a, b = joined.top(i), joined.top(j)
+            joined.join(a, b)
+            least[joined.top(a)] = min(least[a], least[b])
+        # as stars around the smallest, which the components of all groups are found from in few rounds
+        found += [(least[joined.top(i)], digest) for i, digest in enumerate(digests) if least[joined.top(i)] != digest]
     return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
 
@@ -309,6 +314,9 @@ def _links(members: DataFrame) -> DataFrame:
     open_clusters = parts.groupBy("cluster").agg(
         F.count("*").alias("parts"), F.sum(F.when(F.col("own") <= block, F.col("own"))).alias("loose")
     ).where("parts > 1").select(F.col("cluster").alias("c"), "loose")
+    open_clusters = written(open_clusters, "open-clusters")
+    if open_clusters.isEmpty():
+        return links
     binned = rest.join(parts, ["cluster", "seen"]).join(open_clusters, F.col("cluster") == F.col("c")).select(
         "cluster", "digest", "n", "hashes", "seen",
         F.when(F.col("own") > block, F.col("seen")).otherwise(F.lit(-1).cast("long")).alias("whole"),

@@ -40,23 +40,21 @@ def components(links: DataFrame) -> DataFrame:
     share. Rounds are written to the shared folder; minima are pre-aggregated, so a hub costs one row per
     task. Links with a NULL end are ignored; no link gives no row.
     """
-    alive = links.where("a is not null and b is not null and a <> b").select("a", "b").distinct()
-    nodes = alive.select(F.col("a").alias("node")).union(alive.select("b")).distinct()
-    reached = written(nodes.withColumn("at", F.col("node")), "reached")
-    alive = written(alive, "links")
-    turn = 0
-    while not alive.isEmpty():
+    alive = written(links.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), "links")
+    reached, turn = None, 0
+    while reached is None or not alive.isEmpty():
         rank = F.lit(0).cast("long") if turn % 2 == 0 else F.xxhash64("node", F.lit(turn))
         both = alive.select(F.col("a").alias("x"), F.col("b").alias("node")).union(alive.select("b", "a"))
         best = both.groupBy("x").agg(F.min(F.struct(rank.alias("rank"), "node")).alias("m"))
         own = F.struct((F.lit(0).cast("long") if turn % 2 == 0 else F.xxhash64("x", F.lit(turn))).alias("rank"), F.col("x").alias("node"))
         step = written(best.select("x", F.least(F.col("m"), own)["node"].alias("to")), "step")
-        reached = written(
-            reached.join(step, reached["at"] == step["x"], "left").select("node", F.coalesce("to", "at").alias("at")), "reached"
-        )
+        if reached is None:
+            reached = step.withColumnsRenamed({"x": "node", "to": "at"})
+        else:
+            moved = reached.join(step, reached["at"] == step["x"], "left").select("node", F.coalesce("to", "at").alias("at"))
+            reached = written(moved, "reached")
         left, right = step.select(F.col("x").alias("a"), F.col("to").alias("p")), step.select(F.col("x").alias("b"), F.col("to").alias("q"))
-        moved = alive.join(left, "a").join(right, "b").where("p <> q")
-        alive = written(moved.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "links")
+        alive = written(alive.join(left, "a").join(right, "b").where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")), "links")
         turn += 1
     least = reached.groupBy("at").agg(F.min("node").alias("component"))
     return reached.join(least, "at").select("node", "component")
