@@ -25,7 +25,8 @@ def followers_within(
 
     The pairs are counted, never built: with C(t) the rows of the key that started by t, the
     answer is C(end + days) - C(end). Both come from one running sum over starts and probes,
-    so the work is linear even where one key holds much of the table. ``row_id`` must be unique.
+    so the work is linear even where one key holds much of the table. Equal rows are counted once and written out
+    again, and rows that share only their id stay apart by key and end.
     """
     rows = df.select(row_id, key, *keep, column(start).alias("_start"), column(end).alias("_end"))
     matchable = column(key).isNotNull()
@@ -33,23 +34,30 @@ def followers_within(
     kept = [row_id, *keep]
     empty = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in kept]
     starts = rows.where(matchable & F.col("_start").isNotNull()).select(
-        key, *empty, F.col("_start").alias("_at"), F.lit(0).alias("_kind"), F.lit(1).alias("_add"), F.lit(0).alias("_sign")
+        key, *empty, F.col("_start").alias("_at"), F.lit(0).alias("_kind"), F.lit(1).alias("_add"), F.lit(0).alias("_sign"),
+        F.lit(None).cast(rows.schema["_end"].dataType).alias("_end"), F.lit(0).cast("bigint").alias("_copies"),
     )
     until = F.expr(f"_end + INTERVAL {int(days)} DAYS")
-    ends = rows.where(probe).select(
+    kept_rows = rows.where(probe).groupBy(key, *kept, "_end").agg(F.count(F.lit(1)).alias("_copies"))
+    ends = kept_rows.select(
         key,
         *kept,
+        "_end",
+        "_copies",
         F.explode(F.array(F.struct(F.col("_end").alias("at"), F.lit(-1).alias("sign")),
                           F.struct(until.alias("at"), F.lit(1).alias("sign")))).alias("_probe"),
     ).select(
         key, *kept, F.col("_probe.at").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_add"),
-        F.col("_probe.sign").alias("_sign"),
+        F.col("_probe.sign").alias("_sign"), "_end", "_copies",
     )
     points = starts.unionByName(ends)
     cuts = find_cuts(points, [key], "_at", rows_per_chunk)
     running = with_running_sum(points, [key], ["_at", "_kind"], "_add", "_upto", cuts)
-    counted = running.where(F.col("_kind") == 1).groupBy(*kept).agg(
+    each = list(dict.fromkeys([*kept, key]))
+    counted = running.where(F.col("_kind") == 1).groupBy(*each, "_end", "_copies").agg(
         F.sum(F.col("_sign") * F.col("_upto")).alias("followers")
     )
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
+    counted = counted.select(*kept, "followers", copies.alias("_copy")).drop("_copy")
     unmatched = rows.where(~probe).select(*kept, F.lit(0).cast("bigint").alias("followers"))
     return counted.unionByName(unmatched)

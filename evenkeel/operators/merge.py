@@ -11,6 +11,7 @@ from evenkeel.functions import digest
 from evenkeel.functions.canon import column
 from evenkeel.operators.checks import side_by_side, to_checks
 from evenkeel.operators.ordered import latest_per_key
+from evenkeel.session import durable
 
 DELETE = "D"
 
@@ -91,7 +92,7 @@ def merge_idempotency(
     columns: Sequence[str],
 ) -> DataFrame:
     """Applying a merge twice gives the table that applying it once gave."""
-    once = merge(target, delta)
+    once = durable(merge(target, delta))
     twice = merge(once, delta)
     wide = side_by_side(
         digest.exact_fingerprint(once, columns), digest.exact_fingerprint(twice, columns), ["row_count", "digest"]

@@ -109,9 +109,9 @@ def repeat_contacts(interactions: DataFrame, rows_per_chunk: int = ROWS_PER_CHUN
 
 
 def billing_reconciliation(staged: DataFrame, invoices: DataFrame) -> DataFrame:
-    s = staged.select("invoice_no", F.col("total_amount").alias("staged_amount"), "issued_ts_sec")
+    s = staged.select("invoice_id", "invoice_no", F.col("total_amount").alias("staged_amount"), "issued_ts_sec")
     a = invoices.select("invoice_id", F.col("total_amount").alias("ods_amount"), F.col("issued_ts").alias("ods_issued_ts"))
-    joined = s.join(a, F.col("invoice_no") == F.col("invoice_id"))
+    joined = s.join(a, "invoice_id")
     drift = epoch_seconds(F.col("ods_issued_ts")) - floor_millis(F.col("issued_ts_sec"))
     status = (
         F.when(F.abs(F.col("staged_amount") - F.col("ods_amount")) > F.lit("0.01").cast("decimal(3,2)"), "AMOUNT_MISMATCH")

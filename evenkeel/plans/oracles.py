@@ -507,7 +507,7 @@ ORACLES: dict[str, str] = {
                CAST(floor(epoch(a.issued_ts)) AS BIGINT) - issued_ts_sec // 1000 AS drift_seconds,
                CASE WHEN abs(s.total_amount - a.total_amount) > 0.01 THEN 'AMOUNT_MISMATCH'
                     WHEN floor(epoch(a.issued_ts)) <> issued_ts_sec // 1000 THEN 'TS_MISMATCH' ELSE 'OK' END AS recon_status
-        FROM stg_fin_invoice s JOIN ods_invoice_acid a ON s.invoice_no = a.invoice_id"""),
+        FROM stg_fin_invoice s JOIN ods_invoice_acid a ON s.invoice_id = a.invoice_id"""),
     "agent_roster": over("ods_agent_scd2 ods_agent_assignment_scd2", f"""
         WITH h AS (SELECT *, row_number() OVER (PARTITION BY agent_id ORDER BY eff_from_ts DESC, agent_history_id DESC) AS rn
                    FROM ods_agent_scd2)

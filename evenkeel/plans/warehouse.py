@@ -69,7 +69,8 @@ SOURCES = {
                event_type AS channel, ts AS start_ts
         FROM {events}""",
     "stg_fin_invoice": """
-        SELECT o_orderkey AS invoice_no, CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount,
+        SELECT o_orderkey AS invoice_id, concat('INV-', CAST(o_orderkey * 7 + 3 AS STRING)) AS invoice_no,
+               CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount,
                @MS(o_orderdate) AS issued_ts_sec
         FROM {orders}""",
     "ods_invoice_acid": """
