@@ -6,7 +6,7 @@ cheaper form behind MD5 digests. Their bytes differ, so never compare one with t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,8 @@ FLOAT_DECIMALS = 6
 FAST_NULL = "__NULL__"
 FAST_SEPARATOR = "~|~"
 
-PLAIN_NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)\s*$"
+# sign, whole digits, fraction after whole digits, fraction alone, exponent
+NUMBER = r"^([+-]?)(?:([0-9]+)[.]?([0-9]*)|[.]([0-9]+))(?:[eE]([+-]?[0-9]{1,4}))?$"
 
 
 def column(name: str) -> Column:
@@ -96,17 +97,58 @@ def double_text(col: Column, decimals: int) -> Column:
     )
 
 
+def second_text(col: Column, dtype: T.DataType) -> Column:
+    """Date and time to the second; an instant is read in UTC whatever the session's zone."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.date_trunc("second", col).cast("string")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (epoch + F.make_dt_interval(secs=F.unix_seconds(col).cast("decimal(18,6)"))).cast("string")
+
+
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def number_text(col: Column) -> Column:
+    """All digits of the number a text spells, an exponent written out; NULL for any other text.
+
+    1.50, +1.5 and 15e-1 give 1.5. Exponents have up to four digits.
+    """
+    zero = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
+
+    def parts(s: Column) -> Column:
+        group = lambda n: F.regexp_extract(s, NUMBER, n)
+        shift = F.coalesce(group(5).try_cast("int"), F.lit(0))
+        return F.struct(
+            (group(1) == "-").alias("minus"), F.concat(group(2), group(3), group(4)).alias("digits"),
+            (F.length(F.concat(group(2), F.lit(""))) + shift).alias("point"),
+        )
+
+    def padded(p: Column) -> Column:
+        # as many zeros on either side as bring the point inside
+        text = F.concat(zero(-p["point"]), p["digits"], zero(p["point"] - F.length(p["digits"])))
+        return F.struct(p["minus"].alias("minus"), text.alias("text"), F.greatest(p["point"], F.lit(0)).alias("point"))
+
+    def sides(p: Column) -> Column:
+        before = F.ltrim(F.substring(p["text"], F.lit(1), p["point"]), F.lit("0"))
+        after = F.rtrim(F.substring(p["text"], p["point"] + 1, F.length(p["text"])), F.lit("0"))
+        return F.struct(p["minus"].alias("minus"), before.alias("before"), after.alias("after"))
+
+    def joined(p: Column) -> Column:
+        sign = F.when(p["minus"] & (F.length(p["before"]) + F.length(p["after"]) > 0), F.lit("-")).otherwise(F.lit(""))
+        whole = F.when(p["before"] == "", F.lit("0")).otherwise(p["before"])
+        return F.concat(sign, whole, F.when(p["after"] == "", F.lit("")).otherwise(F.concat(F.lit("."), p["after"])))
+
+    def spelled(s: Column) -> Column:
+        return F.when(s.rlike(NUMBER), _with(_with(_with(parts(s), padded), sides), joined))
+
+    return _with(F.regexp_replace(col, r"^\s+|\s+$", ""), spelled)
+
+
 def numeric_string_text(col: Column) -> Column:
     """A string that spells a number gets the number's text; any other stays as it is."""
-    s = F.trim(col)
-    unsigned = F.regexp_replace(s, "^[+-]", "")
-    whole = F.ltrim(F.substring_index(unsigned, ".", 1), F.lit("0"))
-    whole = F.when(whole == "", F.lit("0")).otherwise(whole)
-    fraction = F.when(F.instr(unsigned, ".") > 0, F.rtrim(F.substring_index(unsigned, ".", -1), F.lit("0")))
-    value = F.when(F.coalesce(fraction, F.lit("")) == "", whole).otherwise(F.concat_ws(".", whole, fraction))
-    plain = F.when(s.startswith("-") & (value != "0"), F.concat(F.lit("-"), value)).otherwise(value)
-    exponent = trim_zeros(s.try_cast("decimal(38,18)").cast("string"))
-    return F.when(col.rlike(PLAIN_NUMBER), plain).otherwise(F.coalesce(exponent, col))
+    return F.coalesce(number_text(col), col)
 
 
 def _struct_text(col: Column, dtype: T.StructType, decimals: int) -> Column:
@@ -129,7 +171,7 @@ def canonical(
     elif isinstance(dtype, T.BinaryType):
         text = F.lower(F.hex(col))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_trunc("second", col).cast("string")
+        text = second_text(col, dtype)
     elif isinstance(dtype, T.ArrayType):
         items = F.transform(col, lambda x: canonical(x, dtype.elementType, decimals))
         text = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
@@ -183,7 +225,7 @@ def fast_canonical(col: Column, dtype: T.DataType) -> Column:
         wide = F.coalesce(micro.try_cast("decimal(38,0)").cast("string"), x.cast("string"))
         text = F.when(F.abs(micro) < F.lit(9e18), micro.cast("bigint").cast("string")).otherwise(wide)
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_trunc("second", col).cast("string")
+        text = second_text(col, dtype)
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
         text = F.when(col.isNotNull(), canonical(col, dtype))
     elif dtype.typeName() == "variant":

@@ -7,9 +7,15 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from evenkeel.functions.canon import number_text
+
 Tolerance = str | int | float | Decimal | None
-# one digit short of 38, so that a difference still fits without losing scale
-NUMERIC = "decimal(37,9)"
+# one digit short of 38, so that a difference still fits; with the texts that each holds unchanged
+EXACT = {
+    "decimal(37,9)": r"^-?[0-9]{1,28}([.][0-9]{1,9})?$",
+    "decimal(37,20)": r"^-?[0-9]{1,17}([.][0-9]{1,20})?$",
+    "decimal(37,33)": r"^-?[0-9]{1,4}([.][0-9]{1,33})?$",
+}
 
 
 def allowed(tolerance: Tolerance, base: Column) -> Column:
@@ -22,11 +28,25 @@ def allowed(tolerance: Tolerance, base: Column) -> Column:
 
 
 def within(source: Column, target: Column, tolerance: Tolerance) -> Column:
-    """|source - target| within the tolerance of the source; equality where one is NULL."""
-    s, t = source.try_cast(NUMERIC), target.try_cast(NUMERIC)
-    close = F.abs(s - t).cast("double") <= allowed(tolerance, s)
+    """|source - target| within the tolerance of the source; equality where one is NULL or no number.
+
+    Equal digits are within any tolerance, and without a tolerance nothing else is. The difference is taken as decimals
+    where both sides fit them unchanged, and as doubles elsewhere.
+    """
+    both = F.struct(number_text(source.cast("string")).alias("s"), number_text(target.cast("string")).alias("t"))
     same = source.cast("string").eqNullSafe(target.cast("string"))
-    return F.when(s.isNull() | t.isNull(), same).otherwise(close)
+    limit = allowed(tolerance, source.try_cast("double"))
+
+    def judged(x: Column) -> Column:
+        doubles = F.abs(x["s"].try_cast("double") - x["t"].try_cast("double"))
+        apart = doubles
+        for kind, texts in EXACT.items():
+            fits = x["s"].rlike(texts) & x["t"].rlike(texts)
+            apart = F.when(fits, F.abs(x["s"].try_cast(kind) - x["t"].try_cast(kind)).cast("double")).otherwise(apart)
+        close = (x["s"] == x["t"]) | ((limit > 0) & (apart <= limit))
+        return F.when(x["s"].isNull() | x["t"].isNull(), same).otherwise(close)
+
+    return F.get(F.transform(F.array(both), judged), F.lit(0))
 
 
 def within_seconds(source: Column, target: Column, tolerance: Tolerance) -> Column:

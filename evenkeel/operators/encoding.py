@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.canon import column, type_of
+from evenkeel.functions.canon import column, number_text, type_of
 from evenkeel.functions.scalars import epoch_to_timestamp
 from evenkeel.operators.checks import to_checks, union_all
 from evenkeel.operators.localize import aligned
@@ -121,7 +121,8 @@ def decimal_differences(
 ) -> DataFrame:
     """(key..., column, source_value, target_value, reason) where a value changed.
 
-    1.50 equals 1.5. Reasons: value, unparseable (text that is no number, unless both sides
+    1.50 equals 1.5, and every digit counts: a value that decimal(38,18) may not hold is compared by the text of all its
+    digits. Reasons: value, unparseable (text that is no number, unless both sides
     hold the same text), only_source, only_target, duplicate_key.
     """
     plain = {c for c in columns if _always_fits(source, c) and _always_fits(target, c)}
@@ -131,26 +132,34 @@ def decimal_differences(
         for i, c in enumerate(columns):
             mine[f"n{i}"] = column(c).try_cast("decimal(38,18)")
             if c not in plain:
-                mine[f"x{i}"] = F.when(mine[f"n{i}"].isNull(), column(c).cast("string"))
+                digits = number_text(column(c).cast("string"))
+                mine[f"x{i}"] = F.coalesce(digits, column(c).cast("string"))
+                mine[f"y{i}"] = digits.isNotNull()
         values.append(mine)
     both = aligned(source, target, key, *values)
     entries = []
     for i, c in enumerate(columns):
         nothing = F.lit(None).cast("string")
-        s_text, t_text = (nothing, nothing) if c in plain else (F.col(f"s_x{i}"), F.col(f"t_x{i}"))
-        unparsed = (s_text.isNotNull() | t_text.isNotNull()) & ~s_text.eqNullSafe(t_text)
+        if c in plain:
+            s_text = t_text = nothing
+            unparsed, changed = F.lit(False), ~F.col(f"s_n{i}").eqNullSafe(F.col(f"t_n{i}"))
+        else:
+            s_text, t_text = F.col(f"s_x{i}"), F.col(f"t_x{i}")
+            changed = ~s_text.eqNullSafe(t_text)
+            words = (s_text.isNotNull() & ~F.col(f"s_y{i}")) | (t_text.isNotNull() & ~F.col(f"t_y{i}"))
+            unparsed = changed & words
         reason = (
             F.when((F.col("s_n") > 1) | (F.col("t_n") > 1), "duplicate_key")
             .when(F.col("s_n") == 0, "only_target")
             .when(F.col("t_n") == 0, "only_source")
             .when(unparsed, "unparseable")
-            .when(~F.col(f"s_n{i}").eqNullSafe(F.col(f"t_n{i}")), "value")
+            .when(changed, "value")
         )
         entries.append(
             F.struct(
                 F.lit(c).alias("column"),
-                F.coalesce(F.col(f"s_n{i}").cast("string"), s_text).alias("source_value"),
-                F.coalesce(F.col(f"t_n{i}").cast("string"), t_text).alias("target_value"),
+                F.coalesce(s_text, F.col(f"s_n{i}").cast("string")).alias("source_value"),
+                F.coalesce(t_text, F.col(f"t_n{i}").cast("string")).alias("target_value"),
                 reason.alias("reason"),
             )
         )

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions import digest
-from evenkeel.functions.canon import FLOAT_DECIMALS, column, type_of
-from evenkeel.functions.tolerance import NUMERIC, Tolerance, allowed, within, within_seconds
+from evenkeel.functions.canon import FLOAT_DECIMALS, column, number_text, type_of
+from evenkeel.functions.tolerance import Tolerance, allowed, within, within_seconds
 from evenkeel.operators.checks import side_by_side, to_checks, union_all
 
 
@@ -28,9 +28,9 @@ class TablePair:
 
 
 def rowcount_parity(pairs: Sequence[TablePair]) -> DataFrame:
-    """One check per pair; all pairs are counted in one job without a join."""
+    """One check per pair, also for pairs of one name; all are counted in one job without a join."""
     counted = []
-    for pair in pairs:
+    for i, pair in enumerate(pairs):
         for is_source, df, condition in (
             (True, pair.source, pair.source_filter),
             (False, pair.target, pair.target_filter),
@@ -38,16 +38,16 @@ def rowcount_parity(pairs: Sequence[TablePair]) -> DataFrame:
             rows = df if condition is None else df.where(condition)
             counted.append(
                 rows.agg(F.count(F.lit(1)).alias("n")).select(
-                    F.lit(pair.name).alias("name"), F.lit(is_source).alias("is_source"), "n"
+                    F.lit(i).alias("pair"), F.lit(pair.name).alias("name"), F.lit(is_source).alias("is_source"), "n"
                 )
             )
-    wide = union_all(counted).groupBy("name").agg(
+    wide = union_all(counted).groupBy("pair", "name").agg(
         F.sum(F.when(F.col("is_source"), F.col("n"))).alias("s"),
         F.sum(F.when(~F.col("is_source"), F.col("n"))).alias("t"),
     )
     limit = F.lit(None).cast("double")
-    for pair in pairs:
-        limit = F.when(F.col("name") == pair.name, allowed(pair.tolerance, F.col("s"))).otherwise(limit)
+    for i, pair in enumerate(pairs):
+        limit = F.when(F.col("pair") == i, allowed(pair.tolerance, F.col("s"))).otherwise(limit)
     wide = wide.withColumn("delta", F.abs(F.col("s") - F.col("t"))).withColumn("allowed", limit)
     return to_checks(
         wide,
@@ -90,7 +90,7 @@ def _long_aggregates(df: DataFrame, aggregates: Sequence[Aggregate]) -> DataFram
             F.struct(
                 F.lit(i).alias("position"),
                 value.cast("string").alias("text"),
-                (value.try_cast(NUMERIC) if numeric else F.lit(None).cast(NUMERIC)).alias("number"),
+                F.when(F.lit(numeric), number_text(value.cast("string"))).alias("number"),
                 (value.cast("timestamp") if instant else F.lit(None).cast("timestamp")).alias("instant"),
             )
         )
@@ -188,7 +188,7 @@ def scalar_parity(name: str, source: DataFrame, target: DataFrame, tolerance: To
         cells.append(
             df.limit(1).select(
                 cell.cast("string").alias("text"),
-                (cell.try_cast(NUMERIC) if numeric else F.lit(None).cast(NUMERIC)).alias("number"),
+                F.when(F.lit(numeric), number_text(cell.cast("string"))).alias("number"),
             )
         )
     wide = side_by_side(*cells, ["text", "number"])

@@ -26,9 +26,12 @@ def read_files(
     skip_leading_rows: int = 0,
     partition_prefix: str | None = None,
     partition_types: str = "auto",
+    strict: bool = False,
 ) -> DataFrame:
     """Read one of the load formats; AVRO needs the spark-avro package on the class path.
 
+    ``strict`` makes a CSV or JSON record that does not fit its schema an error when it is read; else it reads as NULLs.
+
     ``partition_prefix`` is the folder above ``name=value`` directories, whose names become
     columns; ``partition_types`` is auto or strings, or custom with the types in ``schema``.
     """
@@ -36,8 +39,10 @@ def read_files(
     if format not in FORMATS:
         raise ValueError(f"unknown format {format}; one of {', '.join(FORMATS)}")
     if format == "csv" and skip_leading_rows > 1:
-        return _read_csv_skipping(spark, path, schema, infer, delimiter, skip_leading_rows)
+        return _read_csv_skipping(spark, path, schema, infer, delimiter, skip_leading_rows, strict)
     reader = spark.read.format(format)
+    if strict and format in ("csv", "json"):
+        reader = reader.option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     elif format == "csv":
@@ -55,7 +60,7 @@ def read_files(
 
 
 def _read_csv_skipping(
-    spark: SparkSession, path, schema: Schema, infer: bool, delimiter: str, skip: int
+    spark: SparkSession, path, schema: Schema, infer: bool, delimiter: str, skip: int, strict: bool
 ) -> DataFrame:
     """CSV whose first ``skip`` lines per file are dropped; the last of them names the columns.
 
@@ -82,7 +87,7 @@ def _read_csv_skipping(
         header = last.select("value").first()
         names = [n.strip() for n in header["value"].split(delimiter)] if header else []
         ddl = ", ".join(f"`{n}` string" for n in names)
-    rows = body.select(F.from_csv("value", ddl, {"sep": delimiter}).alias("r")).select("r.*")
+    rows = body.select(F.from_csv("value", ddl, {"sep": delimiter, "mode": "FAILFAST" if strict else "PERMISSIVE"}).alias("r")).select("r.*")
     return rows if schema is not None or not infer else _narrowed(rows)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +99,8 @@ def _failed(spark: SparkSession, target: str, message: str) -> DataFrame:
 def bulk_load(spark: SparkSession, load: Load) -> DataFrame:
     """Load, replace the destination, and check what landed; a load that breaks is a FAIL.
 
+    A CSV or JSON record that does not fit its types breaks the load.
+
     The count is read back from the destination, so a retried write task cannot inflate it.
     """
     try:
@@ -110,9 +113,10 @@ def bulk_load(spark: SparkSession, load: Load) -> DataFrame:
             skip_leading_rows=load.skip_leading_rows,
             partition_prefix=load.partition_prefix,
             partition_types=load.partition_types,
+            strict=True,
         )
         rows.write.mode("overwrite").parquet(load.destination)
-    except (PySparkException, ValueError) as error:
+    except (PySparkException, Py4JJavaError, ValueError) as error:
         return _failed(spark, load.name, f"load failed: {str(error).splitlines()[0]}")
     landed = spark.read.schema(rows.schema).parquet(load.destination)
     checks = []
