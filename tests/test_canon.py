@@ -1,118 +1,98 @@
-"""Canonical text and digests against a slow oracle in plain Python."""
+"""Canonical text and digests: fixed pairs of value and text, and properties."""
 
 import datetime
 import hashlib
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
+import pytest
 from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions import digest
-from evenkeel.functions.canon import canonical, column, fast_row_text, row_text
-
-
-def number_text(number: Decimal) -> str:
-    text = f"{number:f}"
-    text = text.rstrip("0").rstrip(".") if "." in text else text
-    return "0" if text in ("-0", "") else text
-
-
-def expected(value) -> str:
-    match value:
-        case None:
-            return "\x00__NULL__\x00"
-        case bool():
-            return str(value).lower()
-        case float():
-            if value != value:
-                return "\x00NaN\x00"
-            if abs(value) == float("inf"):
-                return "\x00Inf\x00" if value > 0 else "\x00-Inf\x00"
-            exact = Decimal(repr(value))
-            return number_text(exact.quantize(Decimal("0.000001"), ROUND_HALF_UP) if abs(exact) < 10**20 else exact)
-        case Decimal():
-            return number_text(value)
-        case bytes() | bytearray():
-            return bytes(value).hex()
-        case datetime.datetime():
-            return value.strftime("%Y-%m-%d %H:%M:%S")
-        case datetime.date():
-            return str(value)
-        case list():
-            return "[" + ",".join(map(expected, value)) + "]"
-        case dict():
-            return "{" + ",".join(f"{k}:{v}" for k, v in sorted((str(k), expected(v)) for k, v in value.items())) + "}"
-    return str(value)
-
-
-SCHEMA = T.StructType([
-    T.StructField("i", T.LongType()),
-    T.StructField("f", T.DoubleType()),
-    T.StructField("d", T.DecimalType(20, 6)),
-    T.StructField("s", T.StringType()),
-    T.StructField("b", T.BinaryType()),
-    T.StructField("t", T.BooleanType()),
-    T.StructField("day", T.DateType()),
-    T.StructField("at", T.TimestampNTZType()),
-    T.StructField("list", T.ArrayType(T.DoubleType())),
-    T.StructField("map", T.MapType(T.StringType(), T.LongType())),
-    T.StructField("rec", T.StructType([T.StructField("z", T.LongType()), T.StructField("a", T.StringType())])),
-])
-
-# 15 digits: of longer forms that read back as the same double, the JVM may pick another one
-short = st.floats(allow_nan=False, allow_infinity=False, allow_subnormal=False).map(lambda x: float(f"{x:.14e}"))
-floats = short | st.integers(-10**9, 10**9).map(lambda n: n / 100) | st.sampled_from(
-    [-0.0, 1e40, float("nan"), float("inf"), float("-inf"), 1e-7, 4.9999995, 0.001, 1e7, 4.8751249856483e17, 2e32]
-)
+from evenkeel.functions.canon import NULL_TOKEN, canonical, column, fast_row_text, row_text
+
 quick = settings(max_examples=6, deadline=None, phases=[Phase.explicit, Phase.generate])
-texts = st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=8)
-rows = st.fixed_dictionaries({
-    "i": st.none() | st.integers(-2**63, 2**63 - 1),
-    "f": st.none() | floats,
-    "d": st.none() | st.decimals(-10**12, 10**12, places=6),
-    "s": st.none() | texts,
-    "b": st.none() | st.binary(max_size=6),
-    "t": st.none() | st.booleans(),
-    "day": st.none() | st.dates(datetime.date(1600, 1, 1)),
-    "at": st.none() | st.datetimes(datetime.datetime(1900, 1, 1)),
-    "list": st.none() | st.lists(st.none() | floats, max_size=3),
-    "map": st.none() | st.dictionaries(texts, st.none() | st.integers(0, 99), max_size=3),
-    "rec": st.none() | st.fixed_dictionaries({"z": st.none() | st.integers(0, 9), "a": st.none() | texts}),
-})
+D, DAY, AT = Decimal, datetime.date, datetime.datetime
+
+# type, value, its text
+PAIRS = [
+    ("bigint", None, "\x00__NULL__\x00"), ("bigint", -(2**63), "-9223372036854775808"), ("int", 7, "7"),
+    ("boolean", True, "true"), ("boolean", False, "false"),
+    ("double", float("nan"), "\x00NaN\x00"), ("double", float("inf"), "\x00Inf\x00"), ("double", float("-inf"), "\x00-Inf\x00"),
+    ("double", -0.0, "0"), ("double", 1.5, "1.5"), ("double", 1e-7, "0"), ("double", 4.9999995, "5"), ("double", -2.0000005, "-2.000001"),
+    ("double", 0.001, "0.001"), ("double", 1e7, "10000000"), ("double", 123456789.125, "123456789.125"), ("double", 2e32, "2" + "0" * 32),
+    ("double", 1e40, "1" + "0" * 40), ("double", 4.8751249856483e17, "487512498564830000"), ("double", 1234567.8912345, "1234567.891235"),
+    ("decimal(20,6)", D("1.500000"), "1.5"), ("decimal(20,6)", D("-0.000000"), "0"), ("decimal(20,6)", D("100"), "100"), ("decimal(38,0)", D("-12000"), "-12000"),
+    ("string", "1.50", "1.50"), ("string", "", ""), ("string", "é\n", "é\n"), ("binary", b"\x00\xff", "00ff"), ("binary", b"", ""),
+    ("date", DAY(1600, 1, 1), "1600-01-01"), ("timestamp_ntz", AT(2024, 1, 2, 3, 4, 5, 999999), "2024-01-02 03:04:05"),
+    ("array<double>", [1.0, None, 0.25], "[1,\x00__NULL__\x00,0.25]"), ("array<double>", [], "[]"),
+    ("map<string,bigint>", {"b": 2, "a": None}, "{a:\x00__NULL__\x00,b:2}"), ("map<string,bigint>", {}, "{}"),
+    ("struct<z:bigint,a:string>", (1, None), "{a:\x00__NULL__\x00,z:1}"), ("struct<z:bigint,a:string>", None, "\x00__NULL__\x00"),
+]
+
+
+def text_of(spark, kind, values, **options):
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}").coalesce(1)
+    return [r[0] for r in df.select(canonical(column("v"), df.schema["v"].dataType, **options)).collect()]
+
+
+@pytest.mark.parametrize("kind", dict.fromkeys(k for k, _, _ in PAIRS))
+def test_fixed_texts(spark, kind):
+    mine = [(v, t) for k, v, t in PAIRS if k == kind]
+    assert text_of(spark, kind, [v for v, _ in mine]) == [t for _, t in mine]
 
 
 @quick
-@given(st.lists(rows, min_size=20, max_size=40))
-def test_canonical_matches_oracle(spark, sample):
-    df = spark.createDataFrame([tuple(r[f.name] for f in SCHEMA) for r in sample], SCHEMA)
-    found = df.select(*[canonical(column(f.name), f.dataType).alias(f.name) for f in SCHEMA]).collect()
-    for raw, got in zip(sample, found):
-        assert {k: got[k] for k in raw} == {k: expected(v) for k, v in raw.items()}
+@given(st.lists(st.decimals(-(10**9), 10**9, places=4), min_size=10, max_size=30))
+def test_equal_numbers_have_equal_texts_in_every_type(spark, numbers):
+    as_text = text_of(spark, "string", [f"{n:.6f}" for n in numbers], numeric_strings=True)
+    assert text_of(spark, "decimal(30,4)", numbers) == text_of(spark, "decimal(38,12)", numbers) == as_text
+    assert text_of(spark, "double", [float(n) for n in numbers]) == as_text
+    assert [Decimal(t) for t in as_text] == numbers
 
 
 @quick
-@given(st.lists(rows, max_size=30))
-def test_fingerprint_matches_big_integers(spark, sample):
-    sample = sample + sample[:3]
-    df = spark.createDataFrame([tuple(r[f.name] for f in SCHEMA) for r in sample], SCHEMA).repartition(5)
-    names = ["i", "f", "s", "day"]
-    total = xor = 0
-    for r in sample:
-        h = int(hashlib.sha256("\x1f".join(expected(r[n]) for n in names).encode()).hexdigest(), 16)
-        total, xor = (total + h) % 2**256, xor ^ h
-    got = digest.exact_fingerprint(df, names).first()
-    assert (got.row_count, got.sum_hex, got.xor_hex) == (len(sample), f"{total:064x}", f"{xor:064x}")
-    assert got.digest == hashlib.sha256(f"{len(sample)}:{total:x}:{xor:x}".encode()).hexdigest()
-
-
-def test_numeric_strings_meet_numbers(spark):
-    texts = ["1.50", "  1.5 ", "+007", "-0.0", ".5", "12345678901234567890123456789012345678901.10", "1e3", "abc", "", None]
-    df = spark.createDataFrame([(t,) for t in texts], "s string")
-    got = [r[0] for r in df.select(canonical(F.col("s"), T.StringType(), numeric_strings=True)).collect()]
-    assert got == ["1.5", "1.5", "7", "0", "0.5", "12345678901234567890123456789012345678901.1", "1000", "abc", "",
-                   "\x00__NULL__\x00"]
+@given(st.lists(st.integers(-(10**20), 10**20) | st.none(), max_size=30), st.integers(1, 7))
+def test_digest_ignores_order_and_partitions_but_not_copies(spark, values, parts):
+    frame = lambda v: spark.createDataFrame([(x if x is None else Decimal(x), "s") for x in v], "v decimal(38,0), s string")
+    one = digest.exact_fingerprint(frame(values), ["v", "s"]).first()
+    assert one == digest.exact_fingerprint(frame(values[::-1]).repartition(parts), ["v", "s"]).first()
+    assert one.row_count == len(values)
+    assert one.digest != digest.exact_fingerprint(frame([*values, 5]), ["v", "s"]).first().digest
+
+
+@pytest.mark.parametrize("values", [[3], [1, 1, 2], list(range(-40, 40))])
+def test_fingerprint_is_the_sum_and_xor_of_hashes(spark, values):
+    got = digest.exact_fingerprint(spark.createDataFrame([(v, None) for v in values], "a bigint, b string").repartition(3), ["a", "b"]).first()
+    hashes = [int.from_bytes(hashlib.sha256(f"{v}\x1f{NULL_TOKEN}".encode()).digest(), "big") for v in values]
+    total, xor = sum(hashes) % 2**256, 0
+    for h in hashes:
+        xor ^= h
+    assert (got.sum_hex, got.xor_hex) == (f"{total:064x}", f"{xor:064x}")
+    assert got.digest == hashlib.sha256(f"{len(values)}:{total:x}:{xor:x}".encode()).hexdigest()
+
+
+def test_numeric_strings_meet_numbers_digit_for_digit(spark):
+    pairs = {
+        "1.50": "1.5", "  1.5 ": "1.5", "\t1.50\n": "1.5", "+007": "7", "-0.0": "0", ".5": "0.5", "5.": "5", "1e3": "1000", "-1.20E-2": "-0.012",
+        "1e-20": "0." + "0" * 19 + "1", "9e-20": "0." + "0" * 19 + "9", "1e25": "1" + "0" * 25, "0e5": "0", "12.5e1": "125", "12.50e0": "12.5",
+        "12345678901234567890123456789012345678901.10": "12345678901234567890123456789012345678901.1",
+        "abc": "abc", "": "", "e5": "e5", "1e": "1e", "1e99999": "1e99999", "1 2": "1 2", ".": ".",
+    }
+    assert text_of(spark, "string", list(pairs), numeric_strings=True) == list(pairs.values())
+
+
+def test_instants_read_the_same_in_every_zone(spark):
+    df = spark.sql("SELECT timestamp_micros(1704164645999999) AS at UNION ALL SELECT timestamp_micros(-1)")
+    before = [r[0] for r in df.select(canonical(F.col("at"), T.TimestampType())).collect()]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [r[0] for r in df.select(canonical(F.col("at"), T.TimestampType())).collect()] == before == ["2024-01-02 03:04:05", "1969-12-31 23:59:59"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_missing_column_counts_as_null(spark):
