@@ -1,10 +1,13 @@
 """Personal data: known forms, and terms that reveal them. SQL functions only.
 
-The known forms (mail addresses, network addresses, card and phone numbers) are the protected entities. A term next to
-an entity reveals it as far as the corpus says so: with n texts in all, n(e) with the entity, n(t) with the term and
-n(te) with the term next to the entity, the pointwise mutual information log2(n n(te) / (n(t) n(e))) is at most what
-the entity itself tells, log2(n / n(e)). Their quotient is the disclosure. Terms seen next to an entity in at least two
-different texts are removed from ``REMOVE`` on and replaced by a general mark from ``GENERALISE`` on.
+The known forms (mail addresses, network addresses, card and phone numbers) are the protected entities. What a term
+may reveal are their values and what repeats in them: the kind, the mail domain, the first digits of a number; each is
+a feature of every text that holds it. A term reveals a feature as far as the corpus says so: with n texts in all,
+n(f) with the feature, n(t) with the term and n(tf) with both anywhere in them, the pointwise mutual information
+log2(n n(tf) / (n(t) n(f))) is at most what the feature itself tells, log2(n / n(f)). Their quotient is the disclosure.
+A pair seen in k different texts has its n(tf) lessened by the share ``CHANCE ** k``, as few texts may meet by chance.
+In texts with a feature, every occurrence of a term that reveals it is removed from ``REMOVE`` on and replaced by a
+general mark from ``GENERALISE`` on.
 """
 
 from __future__ import annotations
@@ -24,10 +27,11 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ["email", "ip", "card", "phone"]
 
-#: Code points around an entity in which terms are looked for, least letters of a term, least texts, thresholds.
-REACH, LEAST_LETTERS, LEAST_TEXTS, GENERALISE, REMOVE = 60, 3, 2, 0.9, 0.97
+#: Least letters of a term, digits of a number's prefix, what chance takes of a pair seen in one text, thresholds.
+LEAST_LETTERS, PREFIX, CHANCE, GENERALISE, REMOVE = 3, 6, 0.25, 0.9, 0.97
 
-_ENTITIES = "array<struct<kind:int,start:int,end:int,value:string,before:string,after:string>>"
+_ENTITIES = "array<struct<kind:int,start:int,end:int,value:string>>"
+_TERMS = "array<struct<start:int,end:int,disclosure:double>>"
 _NOT_LETTERS = "[^\\p{L}]+"
 
 
@@ -42,10 +46,9 @@ def _passes_luhn(value: Column) -> Column:
 
 
 def entities(documents: DataFrame) -> DataFrame:
-    """(row, doc_id, same, entities) of each row of ``documents`` (doc_id, text): its known forms with what is around them.
+    """(doc_id, same, text, entities) of each row of ``documents`` (doc_id, text): its known forms.
 
-    ``row`` numbers the rows, to be used once written; ``same`` is a hash of the text. NULL and empty texts have no
-    entities.
+    ``same`` is a hash of the text, which only rows with entities keep. NULL and empty texts have no entities.
     """
     df = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     df = spans.with_spans(df, "email", EMAIL, F.contains("text", F.lit("@")))
@@ -57,48 +60,83 @@ def entities(documents: DataFrame) -> DataFrame:
     df = spans.kept(df, "phone", lambda v: F.char_length(F.regexp_replace(v, "[^0-9]", "")).between(9, 15))
 
     def part(k: int, name: str) -> Column:
-        first = lambda s: F.greatest(s["start"] - REACH, F.lit(0))
-        around = F.transform(
-            name,
-            lambda s: F.struct(
-                F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
-                F.substring(F.col("text"), first(s) + 1, s["start"] - first(s)).alias("before"),
-                F.substring(F.col("text"), s["end"] + 1, F.lit(REACH)).alias("after"),
-            ),
-        )
-        return F.when(F.size(name) > 0, around).otherwise(F.array().cast(_ENTITIES)).cast(_ENTITIES)
-
-    return df.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("same"), F.concat(*[part(k, n) for k, n in enumerate(KINDS)]).alias("entities"))
-
-
-def _terms_around(found: DataFrame) -> DataFrame:
-    """(row, same, entity, term, start, end) of the whole words around each entity."""
-    each = found.select("row", "same", F.explode("entities").alias("e"))
-    entity = F.concat_ws(":", F.col("e.kind").cast("string"), F.lower("e.value"))
-    sides = each.select("row", "same", entity.alias("entity"), F.col("e.before").alias("text"), (F.col("e.start") - F.char_length("e.before")).alias("base"), F.lit(True).alias("ahead"))
-    sides = sides.union(each.select("row", "same", entity, F.col("e.after"), F.col("e.end"), F.lit(False)))
-    worded = spans.with_spans(sides, "words", "\\p{L}+").withColumn("length", F.char_length("text"))
-    words = worded.select("row", "same", "entity", "base", "ahead", "length", F.explode("words").alias("w"))
-    # a word at the far edge may be cut
-    whole = F.when(F.col("ahead"), (F.col("w.start") > 0) | (F.col("base") == 0)).otherwise((F.col("w.end") < F.col("length")) | (F.col("length") < REACH))
-    return words.where(whole & (F.char_length("w.value") >= LEAST_LETTERS)).select(
-        "row", "same", "entity", F.lower("w.value").alias("term"), (F.col("base") + F.col("w.start")).alias("start"), (F.col("base") + F.col("w.end")).alias("end")
-    )
-
-
-def disclosures(documents: DataFrame, found: DataFrame, around: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms that reach ``GENERALISE``; every text of ``documents`` counts."""
-    per_text = around.groupBy("entity", "term").agg(F.count_distinct("same").alias("texts"), F.count_distinct("row").alias("n_te"))
-    pairs = written(per_text.where(F.col("texts") >= LEAST_TEXTS).drop("texts"), "pairs")
+        of_kind = F.transform(name, lambda s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+        return F.when(F.size(name) > 0, of_kind).otherwise(F.array().cast(_ENTITIES)).cast(_ENTITIES)
+
+    df = df.withColumn("entities", F.concat(*[part(k, n) for k, n in enumerate(KINDS)]))
+    return df.select("doc_id", F.xxhash64("text").alias("same"), F.when(F.size("entities") > 0, F.col("text")).alias("text"), "entities")
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of ``text``."""
+    words = F.transform(F.split(text, _NOT_LETTERS), lambda w: F.lower(w))
+    return F.array_distinct(F.filter(words, lambda w: F.char_length(w) >= LEAST_LETTERS))
+
+
+def _features(entity: Column) -> Column:
+    """What ``entity`` tells: its value, its kind, its domain or first digits."""
+    value, kind = F.lower(entity["value"]), entity["kind"].cast("string")
+    digits = F.substring(F.regexp_replace(value, "[^0-9]", ""), 1, PREFIX)
+    begins = F.when(entity["kind"] == KINDS.index("email"), F.substring_index(value, "@", -1)).when(
+        entity["kind"] == KINDS.index("ip"), F.substring_index(value, ".", 2)
+    ).otherwise(digits)
+    return F.array(F.concat_ws(":", kind, F.lit("is"), value), F.concat_ws(":", kind, F.lit("begins"), begins), kind)
+
+
+def _featured(found: DataFrame) -> DataFrame:
+    """(same, copies, terms, features) of each different text with entities; features are (feature, n_f).
+
+    Features that one text alone has are in the same texts, so the first of them stands for all.
+    """
+    texts = found.where(F.size("entities") > 0)
+    copies = texts.groupBy("same").agg(F.count("*").alias("copies"))
+    told = texts.select("same", "text", F.array_distinct(F.flatten(F.transform("entities", _features))).alias("told")).dropDuplicates(["same"])
+    texts = written(told.join(copies, "same").select("same", "copies", _terms(F.col("text")).alias("terms"), "told"), "featured")
+    each = texts.select("same", "copies", F.explode("told").alias("feature"))
+    # one row a feature; one that several texts have is met again in each of them
+    counts = each.groupBy("feature").agg(F.sum("copies").alias("n_f"), F.count("*").alias("texts"), F.min("same").alias("of"))
+    alone = counts.where("texts = 1").groupBy(F.col("of").alias("same")).agg(F.min(F.struct("feature", "n_f")).alias("f"))
+    many = each.join(counts.where("texts > 1").select("feature", "n_f"), "feature").select("same", F.struct("feature", "n_f").alias("f"))
+    features = many.union(alone.select("same", "f")).groupBy("same").agg(F.collect_list("f").alias("features"))
+    return texts.drop("told").join(features, "same")
+
+
+def disclosures(documents: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(feature, term, disclosure) of the terms that reach ``GENERALISE``; every text of the ``n`` of ``documents`` counts.
+
+    ``pairs`` (feature, n_f, term, copies) has a row for each different text and feature and term in it.
+    """
+    met = pairs.groupBy("feature", "term").agg(F.first("n_f").alias("n_f"), F.sum("copies").alias("n_tf"), F.count("*").alias("texts"))
     # counted before the join: a semi join first would move every word of every text, not one row a word and task
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), _NOT_LETTERS))
-    of_term = documents.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    value = F.transform("entities", lambda e: F.concat_ws(":", e["kind"].cast("string"), F.lower(e["value"])))
-    of_entity = found.select(F.explode(F.array_distinct(value)).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    n = F.lit(float(max(found.count(), 1)))
-    told, most = F.log2(n * F.col("n_te") / (F.col("n_t") * F.col("n_e"))), F.log2(n / F.col("n_e"))
-    measured = pairs.join(of_entity, "entity").join(of_term, "term")
-    return measured.withColumn("disclosure", F.when(most > 0, told / most).otherwise(F.lit(0.0))).where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
+    of_term = documents.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    lessened = F.col("n_tf") * (1 - F.pow(F.lit(CHANCE), F.col("texts")))
+    rows = F.lit(float(max(n, 1)))
+    told, most = F.log2(rows * lessened / (F.col("n_t") * F.col("n_f"))), F.log2(rows / F.col("n_f"))
+    measured = met.join(of_term, "term").withColumn("disclosure", F.when(most > 0, told / most).otherwise(F.lit(0.0)))
+    return measured.where(F.col("disclosure") >= GENERALISE).select("feature", "term", "disclosure")
+
+
+def _occurrences(df: DataFrame) -> DataFrame:
+    """``df`` and ``found``, each place in ``text`` of a term of ``revealing`` (disclosure by term) outside ``entities``.
+
+    Words and gaps alternate; a word that reveals nothing leaves the state's array as it is, so nothing is copied.
+    """
+    some = F.col("revealing").isNotNull()
+    df = df.withColumn("words", F.when(some, F.regexp_extract_all("text", F.lit("\\p{L}+"), F.lit(0))))
+    df = df.withColumn("gaps", F.when(some, F.split("text", "\\p{L}+", -1)))
+    pairs = F.arrays_zip(F.col("words").alias("w"), F.slice("gaps", 1, F.size("words")).alias("g"))
+    df = df.withColumn("steps", F.when(some & (F.size("words") > 0), F.transform(pairs, lambda p: F.struct(F.char_length(p["g"]).alias("g"), F.char_length(p["w"]).alias("n"), F.element_at("revealing", F.lower(p["w"])).alias("d")))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_TERMS).alias("found"))
+
+    def grown(state: Column, s: Column) -> Column:
+        first = state["at"] + s["g"]
+        last = first + s["n"]
+        one = F.array(F.struct(first.alias("start"), last.alias("end"), s["d"].alias("disclosure")))
+        return F.struct(last.alias("at"), F.when(s["d"].isNull(), state["found"]).otherwise(F.concat(state["found"], one)).alias("found"))
+
+    df = df.withColumn("found", F.when(F.col("steps").isNotNull(), F.aggregate("steps", start, grown, lambda s: s["found"])).otherwise(F.array().cast(_TERMS)))
+    free = F.filter("found", lambda t: ~F.exists("entities", lambda e: (e["start"] < t["end"]) & (t["start"] < e["end"])))
+    return df.withColumn("found", F.when(F.size("found") > 0, free).otherwise(F.col("found")))
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -109,15 +147,14 @@ def personal_data(documents: DataFrame) -> DataFrame:
     is one text where different texts are asked for, and counts with all its copies in the estimates.
     """
     found = written(entities(documents), "entities")
-    around = written(_terms_around(found), "around")
-    revealing = written(disclosures(documents, found, around), "disclosures")
-    hits = around.join(revealing, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    terms = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("found"))
-    free = F.filter(
-        F.coalesce("found", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")),
-        lambda t: ~F.exists("entities", lambda e: (e["start"] < t["end"]) & (t["start"] < e["end"])),
-    )
-    return found.join(terms, "row", "left").select("doc_id", "same", "entities", free.alias("terms"))
+    texts = written(_featured(found), "features")
+    pairs = texts.select("same", "copies", "terms", F.explode("features").alias("f")).select("same", "copies", "f.feature", "f.n_f", F.explode("terms").alias("term"))
+    revealing = written(disclosures(documents, pairs, found.count()), "disclosures")
+    hits = pairs.join(revealing, ["feature", "term"]).groupBy("same", "term").agg(F.max("disclosure").alias("disclosure"))
+    of_text = hits.groupBy("same").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("revealing"))
+    # texts without entities need no partner
+    with_some = _occurrences(found.where(F.size("entities") > 0).join(of_text, "same", "left")).select("doc_id", "same", "entities", F.col("found").alias("terms"))
+    return with_some.union(found.where(F.size("entities") == 0).select("doc_id", "same", "entities", F.array().cast(_TERMS)))
 
 
 def sanitise(documents: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Known forms against Python's pattern search, disclosures against counts by hand."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -58,3 +59,23 @@ def test_disclosing_terms(spark):
     assert (101, "ask  at [EMAIL] about it today") in out and (None, ", [EMAIL]") in out and (103, "") in out and (102, "today we rest") in out
     assert len(sanitise.sanitise(frame).collect()) == len(rows)
     assert sanitise.personal_data(frame.limit(0)).count() == 0
+
+
+def test_terms_anywhere_in_texts_and_for_what_repeats_in_entities(spark):
+    far = "and so on " * 20
+    rows = [(i, f"filler and so on number {'abcdefghij'[i % 10]} goes here", 0) for i in range(200)]
+    # no address occurs twice; the domain and the term do, 200 code points apart and on both sides
+    rows += [(300 + i, f"Quendor {far}mail u{i}@quend.example {far}quendor here", 0) for i in range(4)]
+    rows += [(400, f"one Vexley in a single text {far}call +49 30 5550 1234", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, terms int")
+    found = {r.doc_id: r for r in sanitise.personal_data(frame).collect()}
+    for i in range(4):
+        text = rows[200 + i][1]
+        marked = {text[t.start : t.end].lower(): t.disclosure for t in found[300 + i].terms}
+        assert [text[t.start : t.end] for t in found[300 + i].terms if t.disclosure >= sanitise.REMOVE].count("Quendor") == 1
+        assert marked["quendor"] >= sanitise.REMOVE and "and" not in marked and "here" not in marked
+    text = rows[204][1]
+    alone = {text[t.start : t.end]: t.disclosure for t in found[400].terms}
+    n, chance = 205, 0.75  # a pair of one text: log2(205 * 0.75) / log2(205)
+    assert abs(alone["Vexley"] - math.log2(n * chance) / math.log2(n)) < 1e-9
+    assert all(not r.terms for d, r in found.items() if d < 300)
