@@ -1,7 +1,7 @@
 """Secret scans: known forms, and sliding-window entropy over candidate strings. SQL functions only.
 
 A candidate is a run of at least ``WINDOW`` letters, digits and + / _ = -. Its character class sets the threshold of
-the Shannon entropy a window must reach. Along a candidate the counts of its characters change by one in and one
+the Shannon entropy a window must reach: what all but ``MISSED`` of the windows of random keys of that class reach. Along a candidate the counts of its characters change by one in and one
 out for each step, and with them the sum of n log n that gives the entropy. Windows over the threshold that touch or
 overlap are one span. Candidates that an allow-list pattern matches as a whole are suppressed, and so are entropy
 spans inside a known form; known forms always stay.
@@ -9,6 +9,8 @@ spans inside a known form; known forms always stay.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,46 @@ ASSIGNED_LEAST = 6
 
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}+"
 WINDOW = 20
+#: Share of the random windows of a class that may stay under its threshold.
+MISSED = 0.01
+
+
+def random_windows(letters: int) -> list[tuple[float, float]]:
+    """(bits, probability) of windows of ``WINDOW`` random characters out of ``letters``, each partition of the window once."""
+
+    def partitions(rest: int, most: int):
+        if rest == 0:
+            yield []
+        for first in range(min(rest, most), 0, -1):
+            for others in partitions(rest - first, first):
+                yield [first, *others]
+
+    out = []
+    for counts in partitions(WINDOW, WINDOW):
+        if len(counts) <= letters:
+            ways = math.perm(letters, len(counts)) * math.factorial(WINDOW)
+            for n in counts:
+                ways //= math.factorial(n)
+            for n in set(counts):
+                ways //= math.factorial(counts.count(n))
+            out.append((math.log2(WINDOW) - sum(n * math.log2(n) for n in counts) / WINDOW, ways / letters**WINDOW))
+    return sorted(out)
+
+
+def least_bits(letters: int) -> float:
+    """The most bits, cut to two places, under which at most ``MISSED`` of the random windows over ``letters`` stay."""
+    below = 0.0
+    for bits, share in random_windows(letters):
+        below += share
+        if below > MISSED:
+            return math.floor(bits * 100) / 100
+    return 0.0
+
+
 #: Class of a whole candidate, first that fits, and the bits a window must reach.
-CLASSES = [("[0-9a-f]+|[0-9A-F]+", 3.0), ("[A-Z0-9]+", 3.5), (".*", 3.9)]
+CLASSES = [
+    ("[0-9a-f]+|[0-9A-F]+", least_bits(16)), ("[A-Z0-9]+|[a-z0-9]+", least_bits(36)), ("[A-Za-z0-9]+", least_bits(62)), (".*", least_bits(64)),
+]
 #: Candidates that are no secrets: words, numbers, identifiers of the usual form, rules of one character.
 ALLOWED = ["[A-Za-z_=/+-]+", "[0-9_=/+-]+", "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "(.)\\1*"]
 

@@ -81,3 +81,27 @@ def test_against_python(spark, tmp_path):
 def test_redaction(spark):
     frame = spark.createDataFrame([(1, "é password=abcdefgh and " + "0f" * 12 + "!"), (2, None), (3, "fine")], "doc_id long, text string")
     assert sorted(tuple(r) for r in secrets.redact(frame).collect()) == [(1, "é [SECRET] and [SECRET]!", 2), (2, "", 0), (3, "fine", 0)]
+
+
+def test_random_keys_of_each_class_are_found(spark):
+    rng = random.Random(31)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    classes = [digits + "ABCDEF", lower + digits, lower.upper() + digits, lower + lower.upper() + digits, lower + lower.upper() + digits + "+/"]
+    rows, want = [], Counter()
+    for k, letters in enumerate(classes):
+        for length in (20, 24, 32):
+            for _ in range(300):
+                key = "".join(rng.choices(letters, k=length))
+                if not any(re.fullmatch(p, key) for p in secrets.ALLOWED):
+                    rows.append((k * 100 + length, f"see {key} there"))
+                    want[k * 100 + length] += 1
+    found = Counter(r.doc_id for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).where("size(entropy) > 0 or size(hex) > 0").collect())
+    assert all(found[c] >= 0.97 * n for c, n in want.items()), {c: (found[c], n) for c, n in want.items()}
+    bits = [b for n in (16, 36, 62, 64) for b, _ in secrets.random_windows(n)]
+    assert all(abs(b - least) > 1e-6 for b in bits for _, least in secrets.CLASSES)
+
+
+def test_words_numbers_and_identifiers_are_no_secrets(spark):
+    plain = ["internationalization_of_names", "1234567890123456789012", "123e4567-e89b-12d3-a456-426614174000", "aaaa1111aaaa1111aaaa1111", "x" * 40]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(plain)], "doc_id long, text string")
+    assert secrets.secrets(frame).where("size(entropy) > 0").count() == 0
