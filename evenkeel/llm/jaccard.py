@@ -83,7 +83,7 @@ def needed(n, m):
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's id, set size and set digest; and, with a NULL size, the frequent shingles of each slice."""
+    """Each row's id, hash of the text, set size and set digest; and, with a NULL size, the frequent shingles of each slice."""
     for batch in batches:
         for first, end, data, offsets in text_slices(batch.column(1)):
             values, sizes = shingle_sets(data, offsets)
@@ -97,11 +97,12 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.concat_arrays([batch.column(0)[first:end].cast(pa.int64()), pa.nulls(n, pa.int64())]),
+                    pa.concat_arrays([batch.column(2)[first:end], pa.nulls(n, pa.int64())]),
                     pa.concat_arrays([pa.array(sizes), pa.nulls(n, pa.int64())]),
                     pa.array(np.concatenate([digests, own[often].view(np.int64)])),
                     pa.concat_arrays([pa.nulls(end - first, pa.int64()), pa.array(counts[often].astype(np.int64))]),
                 ],
-                ["doc_id", "n_shingles", "digest", "classes"],
+                ["doc_id", "same", "n_shingles", "digest", "classes"],
             )
 
 
@@ -335,18 +336,11 @@ def _links(members: DataFrame) -> DataFrame:
     return links.union(written(more, "more-links"))
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``documents`` (doc_id, text).
-
-    A text's words are its runs without white space, A-Z lowered; its set holds its distinct runs of five words, or
-    all words as one if it has fewer. Texts of Jaccard similarity 0.75 or more are linked; component_id is the
-    smallest doc_id that links reach. NULL, empty and blank texts have no shingles and only themselves. Repeated
-    rows are equal texts and linked. A NULL id is never the smallest, so a component of NULL ids alone has NULL.
-    Other columns are left out.
-    """
+def _grouped(documents: DataFrame) -> DataFrame:
+    """What ``near_duplicates`` returns, same, the hash of the text, and component, which NULL ids have too."""
     buckets = max(BUCKETS, documents.rdd.getNumPartitions())
-    texts = documents.select("doc_id", "text")
-    first = written(texts.mapInArrow(_classes, "doc_id long, n_shingles long, digest long, classes long"), "classes")
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("same"))
+    first = written(texts.mapInArrow(_classes, "doc_id long, same long, n_shingles long, digest long, classes long"), "classes")
     rows = first.where("n_shingles is not null").drop("classes")
     often = first.where("classes is not null").groupBy("digest").agg(F.sum("classes").alias("classes"))
     # at most 1 / HOT shingles per shingle of a mean text
@@ -368,15 +362,34 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     joined = components(_links(written(members, "members")))
     classes = sizes.join(joined, sizes["digest"] == joined["node"], "left").select("digest", "least", F.coalesce("component", "digest").alias("component"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = classes.join(least, "component").select(F.col("digest").alias("class"), "component_id")
+    of_class = classes.join(least, "component").select(F.col("digest").alias("class"), "component", "component_id")
     return rows.join(of_class, rows["digest"] == of_class["class"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "same", "component"
     )
 
 
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``documents`` (doc_id, text).
+
+    A text's words are its runs without white space, A-Z lowered; its set holds its distinct runs of five words, or
+    all words as one if it has fewer. Texts of Jaccard similarity 0.75 or more are linked; component_id is the
+    smallest doc_id that links reach. NULL, empty and blank texts have no shingles and only themselves. Repeated
+    rows are equal texts and linked. A NULL id is never the smallest, so a component of NULL ids alone has NULL.
+    Other columns are left out.
+    """
+    return _grouped(documents).drop("same", "component")
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents``, all columns, that are the smallest id of their component; rows without words and
-    rows with a NULL id stay. Of repeated rows of that id one stays."""
-    found = near_duplicates(documents).where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    rest = documents.join(found, documents["doc_id"] == found["gone"], "left_anti")
-    return rest.where("doc_id is null").union(rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    """The rows of ``documents``, all columns, that come first in their component by id, NULL last, and hash of the
+    text; of repeated rows of that id and text one stays. Rows without words are in no component: those of an id
+    stay once for each text, those of no id all."""
+    rows = written(_grouped(documents).where("n_shingles > 0").select("doc_id", "same", "component"), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
+    best = rows.groupBy("component").agg(F.min(place).alias("best"))
+    each = rows.select("component", place.alias("place")).distinct()
+    gone = each.join(best, "component").where(F.col("place") > F.col("best")).select(F.col("place.doc_id").alias("gone_id"), F.col("place.same").alias("gone_same"))
+    on = documents["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(documents["text"]) == gone["gone_same"])
+    rest = documents.join(gone, on, "left_anti")
+    loose = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    return rest.where(loose).union(rest.where(~loose).dropDuplicates(["doc_id", "text"]))

@@ -98,17 +98,8 @@ def _document_fingerprints(hashes: Column, smallest: Column, lengths: list[int])
     return F.concat(found, *runs) if runs else found
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): which of its words lie in a window of ``benchmark`` (item_id, text).
-
-    Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and hit_spans, the hit places as
-    array of (first, end) in words. NULL text has no words; a repeated row gets its result again, rows of one id
-    with different texts are judged apart; NULL ids are ids. An item whose id is NULL hits but is not listed;
-    rows of one item id are one item. Other columns are left out. Empty tables give no rows or no hits.
-
-    Only fingerprints that the benchmark has survive a semi join; their keys are broadcast where Spark finds
-    them small, and joined by a shuffle beyond that. Candidates are gathered per document, whose length bounds them.
-    """
+def _contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """What ``contamination`` returns, and same, the hash of the text."""
     docs = documents.select("doc_id", "text", F.xxhash64("text").alias("same"))
     occurring = written(item_windows(benchmark), "windows")
     windows = written(occurring.select("n", "key", "at", "window").distinct(), "distinct-windows")
@@ -169,16 +160,31 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["first"]))
     return judged.join(items, judged["doc_id"].eqNullSafe(items["item_doc"]) & (judged["same"] == items["item_same"]), "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
+        "doc_id", "same", "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "hit_spans",
     )
 
 
+def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text): which of its words lie in a window of ``benchmark`` (item_id, text).
+
+    Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and hit_spans, the hit places as
+    array of (first, end) in words. NULL text has no words; a repeated row gets its result again, rows of one id
+    with different texts are judged apart; NULL ids are ids. An item whose id is NULL hits but is not listed;
+    rows of one item id are one item. Other columns are left out. Empty tables give no rows or no hits.
+
+    Only fingerprints that the benchmark has survive a semi join; their keys are broadcast where Spark finds
+    them small, and joined by a shuffle beyond that. Candidates are gathered per document, whose length bounds them.
+    """
+    return _contamination(documents, benchmark).drop("same")
+
+
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, whose text shares no window with ``benchmark``.
 
-    The verdict belongs to the id, so rows of one id stay or go together.
+    The verdict belongs to the row: rows of one id or of no id with different texts are judged apart.
     """
-    found = contamination(documents, benchmark).where("contaminated")
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    found = _contamination(documents, benchmark).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("same").alias("bad_same")).distinct()
+    on = documents["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(documents["text"]) == bad["bad_same"])
+    return documents.join(bad, on, "left_anti")

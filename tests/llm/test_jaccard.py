@@ -92,3 +92,12 @@ def test_empty_and_one_of_each_group(spark):
     frame = spark.createDataFrame([(3, "a b c d e f", "x"), (1, "A b c d e f", "y"), (1, "A b c d e f", "y"), (None, "z", "q"), (5, "", "e"), (6, None, "n")], "doc_id long, text string, gone string")
     assert jaccard.near_duplicates(frame.limit(0)).count() == 0
     assert Counter(tuple(r) for r in jaccard.keep_one(frame).collect()) == Counter([(1, "A b c d e f", "y"), (None, "z", "q"), (5, "", "e"), (6, None, "n")])
+
+
+def test_one_of_each_group_without_ids_and_with_repeated_ids(spark):
+    copies = [(None, "a b c d e f"), (None, "A b c d e f"), (None, "a b c d e f"), (None, "p q r s t u"), (7, "P q r s t u"), (None, "only one of these words here")]
+    shared = [(1, "k l m n o p"), (2, "k l m n o p"), (2, "a text that no other row has near"), (None, " "), (None, None), (None, None)]
+    kept = Counter(tuple(r) for r in jaccard.keep_one(spark.createDataFrame(copies + shared, "doc_id long, text string").repartition(3)).collect())
+    first = [t for t in ((None, "a b c d e f"), (None, "A b c d e f")) if t in kept]
+    assert len(first) == 1
+    assert kept == Counter([first[0], (7, "P q r s t u"), copies[5], shared[0], shared[2], *shared[3:]])

@@ -76,3 +76,10 @@ def test_clean_documents_stay_with_all_columns(spark):
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     assert differences(QUERIES["op10_winnowing"](spark, folder), connect(folder), ORACLES["op10_winnowing"]) is None
+
+
+def test_rows_of_one_id_or_none_are_judged_apart(spark):
+    item = " ".join(f"t{i}" for i in range(12))
+    docs = spark.createDataFrame([(None, f"x {item}"), (None, "clean"), (None, None), (1, item), (1, "clean too")], "doc_id long, text string")
+    kept = winnowing.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert Counter(tuple(r) for r in kept.collect()) == Counter([(None, "clean"), (None, None), (1, "clean too")])
