@@ -237,7 +237,7 @@ class Transducer:
         return int(self.to[state, column]), int(self.emits[state, column])
 
     def long_run(self, points: np.ndarray, start: int, length: int) -> tuple[int, int]:
-        """(exit state, tokens) of one long stretch, by composing its chunks' maps."""
+        """(exit state, tokens) of one long stretch: chunks run from guessed entries, again where a guess was wrong."""
         heads = np.arange(0, length, CHUNK)
         sizes = np.minimum(CHUNK, length - heads)
         warm = np.minimum(heads, WARM_UP)
