@@ -71,7 +71,7 @@ def _judged(df: DataFrame, t: Timeline, rows_per_chunk: int) -> DataFrame:
         [t.entity],
         [t.eff_from, t.eff_to],
         {"_next_from": t.eff_from, "_next": "_has_next"},
-        find_cuts(rows, [t.entity], t.eff_from, rows_per_chunk),
+        find_cuts(rows, [t.entity], [t.eff_from, t.eff_to], rows_per_chunk),
     )
     gap = F.coalesce("_next", F.lit(False)) & ~second(column(t.eff_to)).eqNullSafe(second(F.col("_next_from")))
     return chained.withColumn("_gap", gap)

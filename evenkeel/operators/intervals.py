@@ -33,8 +33,9 @@ def followers_within(
     probe = matchable & F.col("_end").isNotNull()
     kept = [row_id, *keep]
     empty = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in kept]
-    starts = rows.where(matchable & F.col("_start").isNotNull()).select(
-        key, *empty, F.col("_start").alias("_at"), F.lit(0).alias("_kind"), F.lit(1).alias("_add"), F.lit(0).alias("_sign"),
+    begun = rows.where(matchable & F.col("_start").isNotNull()).groupBy(key, "_start").agg(F.count(F.lit(1)).alias("_add"))
+    starts = begun.select(
+        key, *empty, F.col("_start").alias("_at"), F.lit(0).alias("_kind"), "_add", F.lit(0).alias("_sign"),
         F.lit(None).cast(rows.schema["_end"].dataType).alias("_end"), F.lit(0).cast("bigint").alias("_copies"),
     )
     until = F.expr(f"_end + INTERVAL {int(days)} DAYS")
@@ -47,12 +48,14 @@ def followers_within(
         F.explode(F.array(F.struct(F.col("_end").alias("at"), F.lit(-1).alias("sign")),
                           F.struct(until.alias("at"), F.lit(1).alias("sign")))).alias("_probe"),
     ).select(
-        key, *kept, F.col("_probe.at").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_add"),
+        key, *kept, F.col("_probe.at").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_add"),
         F.col("_probe.sign").alias("_sign"), "_end", "_copies",
     )
     points = starts.unionByName(ends)
-    cuts = find_cuts(points, [key], "_at", rows_per_chunk)
-    running = with_running_sum(points, [key], ["_at", "_kind"], "_add", "_upto", cuts)
+    # starts of one instant are one row and probes part by their row, so that no instant fills a chunk
+    order = ["_at", "_kind", row_id]
+    cuts = find_cuts(points, [key], order, rows_per_chunk)
+    running = with_running_sum(points, [key], order, "_add", "_upto", cuts)
     each = list(dict.fromkeys([*kept, key]))
     counted = running.where(F.col("_kind") == 1).groupBy(*each, "_end", "_copies").agg(
         F.sum(F.col("_sign") * F.col("_upto")).alias("followers")

@@ -1,11 +1,15 @@
 """Neighbours and running sums within a key, also for keys with very many rows.
 
 A plain window sends every row of a key to one task. Here a key with more than
-``ROWS_PER_CHUNK`` rows is cut into chunks along its first order column; the window runs per
-(key, chunk), and what crosses a chunk border comes from a small table with one row per
-chunk. Where no key is that large, which one aggregation over the key column finds out, the
-plan is the plain window. A cut depends on the count, minimum and maximum of a key alone, so
-a lost task that runs again cuts the same way.
+``ROWS_PER_CHUNK`` rows is cut into chunks of about equal row counts along its whole order,
+NULLs and far outliers included; the window runs per (key, chunk), and what crosses a chunk
+border comes from a small table with one row per chunk. Where no key is that large, which one
+aggregation over the key column finds out, the plan is the plain window.
+
+The cut points are quantiles of a random sample of the key's rows, ``SAMPLES_PER_CHUNK`` rows
+for each chunk. They are written before use, so a lost task that runs again cuts the same way.
+Rows that are equal in every order column stay in one chunk; a tie-break in the order parts
+them. An empty list of keys takes the whole frame as one key.
 """
 
 from __future__ import annotations
@@ -15,13 +19,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from evenkeel.functions.canon import column, type_of
+from evenkeel.functions.canon import column
 from evenkeel.session import durable
 
 ROWS_PER_CHUNK = 2_000_000
-BROADCAST_ROWS = 100_000
+#: Sampled rows per chunk; with this many a chunk of twice the mean is eight deviations away.
+SAMPLES_PER_CHUNK = 200
+#: A key is cut into no more chunks than this; beyond it the chunks grow instead.
+MOST_CHUNKS = 4096
+BROADCAST_BYTES = 16 << 20
+#: A row's chunk is found in two steps: among every 64th cut, then among the 64 that follow it.
+STRIDE = 64
 
 
 @dataclass(frozen=True)
@@ -32,21 +41,10 @@ class Cuts:
     """
 
     keys: tuple[str, ...]
-    order: str
+    order: tuple[str, ...]
     table: DataFrame | None
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    dtype = type_of(df, name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column(name).cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(column(name)).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return column(name).cast("double")
-    raise TypeError(f"{name}: chunks need a number, date or timestamp to cut along")
-
-
 def _same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
     return [column(a).eqNullSafe(column(b)) for a, b in zip(left, right)]
 
@@ -56,41 +54,75 @@ def _renamed(keys: Sequence[str]) -> list[str]:
 
 
 def _written(df: DataFrame) -> DataFrame:
-    """A written table that later joins broadcast only when its counted rows are few."""
+    """A written table that later joins broadcast only when its measured bytes are few."""
     table = durable(df)
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
+def _place(df: DataFrame, order: Sequence[str]) -> Column:
+    """The order values of a row as one comparable value; NULLs come first."""
+    return F.struct(*[column(o).alias(f"o{i}") for i, o in enumerate(order)])
+
 
+def _quantiles(sample: Column, parts: Column) -> Column:
+    """The sorted sample's values that part it into ``parts`` runs of equal length."""
+    rank = lambda i: F.floor(i * F.size(sample) / parts).cast("int")
+    return F.transform(F.sequence(F.lit(1).cast("bigint"), parts - 1), lambda i: sample[rank(i)])
 
-def find_cuts(df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> Cuts:
-    """Run the sizing job: keys with more than ``rows_per_chunk`` rows, and their range of ``order``.
 
-    There are at most rows / rows_per_chunk of them; they are kept as a written table, which is
-    only broadcast when its counted rows are few.
+def find_cuts(
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK
+) -> Cuts:
+    """Run the sizing job, and for keys with more than ``rows_per_chunk`` rows the sampling job.
+
+    There are at most rows / rows_per_chunk large keys. Their cuts are kept as a written table,
+    which is only broadcast when its measured bytes are few.
     """
-    placed = df.select(*[column(k).alias(r) for k, r in zip(keys, _renamed(keys))], _position(df, order).alias("_pos"))
-    sizes = placed.groupBy(*_renamed(keys)).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi")
-    )
-    large = sizes.where(F.col("_n") > rows_per_chunk).select(
-        *_renamed(keys),
-        "_lo",
-        (F.col("_hi") - F.col("_lo")).alias("_span"),
-        F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("bigint").alias("_parts"),
+    order = (order,) if isinstance(order, str) else tuple(order)
+    names = _renamed(keys)
+    rows = df.select(*[column(k).alias(r) for k, r in zip(keys, names)], _place(df, order).alias("_at"))
+    parts = F.least(F.ceil(F.col("_n") / F.lit(rows_per_chunk)), F.lit(MOST_CHUNKS)).cast("bigint")
+    large = (
+        rows.groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > rows_per_chunk)
+        .select(*[column(r).alias(f"_large{r}") for r in names], parts.alias("_parts"), "_n")
+        .withColumn("_rate", F.col("_parts") * SAMPLES_PER_CHUNK / F.col("_n"))
     )
     if large.isEmpty():
         return Cuts(tuple(keys), order, None)
-    return Cuts(tuple(keys), order, _written(large))
+    large = durable(large)
+    if names:
+        sized = rows.join(_written(large), _same(names, [f"_large{r}" for r in names]))
+    else:
+        whole = large.first()
+        sized = rows.withColumns({"_parts": F.lit(whole["_parts"]), "_rate": F.lit(whole["_rate"])})
+    sampled = sized.where(F.rand(17) < F.col("_rate")).groupBy(*names).agg(
+        F.sort_array(F.collect_list("_at")).alias("_sample"), F.first("_parts").alias("_parts")
+    )
+    cuts = sampled.where(F.size("_sample") > 0).select(*names, _quantiles(F.col("_sample"), F.col("_parts")).alias("_cuts"))
+    steps = F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / STRIDE).cast("int"))
+    table = cuts.select(
+        *names,
+        F.transform(steps, lambda j: F.col("_cuts")[j * STRIDE]).alias("_coarse"),
+        F.transform(steps, lambda j: F.slice("_cuts", j * STRIDE + 1, F.lit(STRIDE))).alias("_fine"),
+    )
+    return Cuts(tuple(keys), order, _written(table))
 
 
 def _chunked(df: DataFrame, cuts: Cuts) -> DataFrame:
     """``df`` with ``_chunk``: NULL for ordinary keys, ascending along the order for large ones."""
-    joined = df.withColumn("_pos", _position(df, cuts.order)).join(
-        cuts.table, _same(cuts.keys, _renamed(cuts.keys)), "left"
-    )
-    share = (F.col("_pos") - F.col("_lo")) / F.nullif(F.col("_span"), F.lit(0.0))
-    inside = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.col("_parts") - 1)
-    chunk = F.when(F.col("_pos").isNull(), F.lit(-1)).otherwise(inside)
-    placed = F.when(F.col("_parts").isNotNull(), chunk.cast("bigint"))
+    rows = df.withColumn("_at", _place(df, cuts.order))
+    if cuts.keys:
+        joined = rows.join(cuts.table, _same(cuts.keys, _renamed(cuts.keys)), "left")
+    else:
+        joined = rows.withColumns({c: cuts.table.select(c).scalar() for c in ("_coarse", "_fine")})
+    at = F.col("_at")
+    stride = F.size(F.filter("_coarse", lambda c: c <= at))
+    inside = F.size(F.filter(F.col("_fine")[stride - 1], lambda c: c <= at))
+    chunk = F.when(stride == 0, F.lit(0)).otherwise((stride - 1) * STRIDE + inside)
+    placed = F.when(F.col("_coarse").isNotNull(), chunk.cast("bigint"))
     return joined.select(*[column(c) for c in df.columns], placed.alias("_chunk"))
 
 
@@ -103,6 +135,28 @@ def _across(edges: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
     )
 
 
+def _checked(cuts: Cuts, keys: Sequence[str], order: Sequence[str]) -> Cuts:
+    if cuts.keys != tuple(keys) or cuts.order != tuple(order[: len(cuts.order)]):
+        raise ValueError(f"cuts of {cuts.keys} along {cuts.order} do not fit {tuple(keys)} along {tuple(order)}")
+    return cuts
+
+
+def _edges(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], first: bool) -> DataFrame:
+    """(keys, _chunk, _near): the values of each chunk's first or last row.
+
+    The extreme place is found over the order columns alone, and only the rows at it carry their values.
+    """
+    placed = rows.where(F.col("_chunk").isNotNull()).withColumn("_place", _place(rows, order))
+    extreme = (F.min if first else F.max)("_place").alias("_extreme")
+    names = _renamed(keys)
+    found = placed.groupBy(*keys, "_chunk").agg(extreme).select(
+        *[column(k).alias(r) for k, r in zip(keys, names)], F.col("_chunk").alias("_edge_chunk"), "_extreme"
+    )
+    same = _same([*keys, "_chunk", "_place"], [*names, "_edge_chunk", "_extreme"])
+    picked = F.struct(*[column(c).alias(name) for name, c in values.items()])
+    return placed.join(_written(found), same).groupBy(*keys, "_chunk").agg(F.first(picked).alias("_near"))
+
+
 def _with_neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -111,7 +165,7 @@ def _with_neighbour(
     cuts: Cuts | None,
     forward: bool,
 ) -> DataFrame:
-    cuts = cuts or find_cuts(df, keys, order[0])
+    cuts = _checked(cuts or find_cuts(df, keys, order), keys, order)
     step = F.lead if forward else F.lag
     ascending = [column(o).asc_nulls_first() for o in order]
     if cuts.table is None:
@@ -123,10 +177,7 @@ def _with_neighbour(
     local = rows.select(
         "*", at_edge.alias("_edge"), *[step(column(c)).over(within).alias(name) for name, c in values.items()]
     )
-    picked = F.struct(*[column(c).alias(name) for name, c in values.items()])
-    rank = F.struct(*[column(o) for o in order])
-    nearest = F.min_by(picked, rank) if forward else F.max_by(picked, rank)
-    edges = rows.where(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(nearest.alias("_near"))
+    edges = _edges(rows, keys, order, values, forward)
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
     near = _written(_across(edges, keys, step("_near").over(by_chunk)))
     joined = local.join(near, _same([*keys, "_chunk"], [*_renamed(keys), "_edge_chunk"]), "left")
@@ -154,7 +205,7 @@ def with_running_sum(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, name: str, cuts: Cuts | None = None
 ) -> DataFrame:
     """Add the sum of ``amount`` over the rows of the key up to and including this one."""
-    cuts = cuts or find_cuts(df, keys, order[0])
+    cuts = _checked(cuts or find_cuts(df, keys, order), keys, order)
     ascending = [column(o).asc_nulls_first() for o in order]
     upto = (Window.unboundedPreceding, Window.currentRow)
     if cuts.table is None:
@@ -192,7 +243,7 @@ def nearest_rank_percentiles(
     Equal values are counted first; the rank is then a running sum over distinct values.
     """
     counts = df.where(column(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_copies"))
-    cuts = find_cuts(counts, groups, value, rows_per_chunk)
+    cuts = find_cuts(counts, groups, [value], rows_per_chunk)
     ranked = with_running_sum(counts, groups, [value], "_copies", "_upto", cuts)
     totals = df.where(column(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("_all"))
     totals = totals.select(*[column(g).alias(r) for g, r in zip(groups, _renamed(groups))], "_all")

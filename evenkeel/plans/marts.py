@@ -101,8 +101,8 @@ def repeat_contacts(interactions: DataFrame, rows_per_chunk: int = ROWS_PER_CHUN
     """Contacts within 72 hours of the customer's previous one; ties ordered by interaction."""
     known = interactions.where(F.col("customer_ref").isNotNull() & (F.col("customer_ref") != ""))
     rows = known.select("interaction_id", "customer_ref", "channel", "start_ts")
-    cuts = find_cuts(rows, ["customer_ref"], "start_ts", rows_per_chunk)
     order = ["start_ts", "interaction_id"]
+    cuts = find_cuts(rows, ["customer_ref"], order, rows_per_chunk)
     stepped = with_previous(rows, ["customer_ref"], order, {"prev_contact_ts": "start_ts"}, cuts)
     gap = epoch_seconds(F.col("start_ts")) - epoch_seconds(F.col("prev_contact_ts"))
     return stepped.withColumn("repeat_within_72h", F.when(gap <= REPEAT_SECONDS, 1).otherwise(0))

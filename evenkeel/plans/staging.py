@@ -57,7 +57,7 @@ def ivr_path(
 ) -> DataFrame:
     """(session, hop, menu): the path as numbered rows, so that no session has to fit in one value."""
     steps = events.select(session, at, tie_break, menu).withColumn("_one", F.lit(1))
-    cuts = find_cuts(steps, [session], at, rows_per_chunk)
+    cuts = find_cuts(steps, [session], [at, tie_break], rows_per_chunk)
     numbered = with_running_sum(steps, [session], [at, tie_break], "_one", "hop", cuts)
     return numbered.select(session, "hop", menu)
 

@@ -23,7 +23,7 @@ def skewed(spark):
 
 @pytest.mark.parametrize("rows_per_chunk", [10, 50, 10_000])
 def test_neighbours_and_running_sums(skewed, rows_per_chunk):
-    cuts = ordered.find_cuts(skewed, ["key"], "at", rows_per_chunk)
+    cuts = ordered.find_cuts(skewed, ["key"], ["at", "id"], rows_per_chunk)
     assert (cuts.table is None) == (rows_per_chunk == 10_000)
     w = Window.partitionBy("key").orderBy(F.col("at").asc_nulls_first(), "id")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -36,6 +36,40 @@ def test_neighbours_and_running_sums(skewed, rows_per_chunk):
     )
 
 
+def test_a_hot_key_with_an_outlier_and_nulls_is_cut_evenly(spark):
+    n = 1_000_000
+    # a third of the rows has no instant, a third the same one, one row lies decades before the rest
+    at = F.when(F.col("id") == 0, F.lit(0)).when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 1_700_000_000)
+    rows = spark.range(n).select(F.lit("hot").alias("key"), at.otherwise(F.col("id") + 1_699_500_000).alias("at"), "id")
+    rows = rows.union(spark.range(10).select(F.lit("cold"), "id", "id"))
+    cuts = ordered.find_cuts(rows, ["key"], ["at", "id"], 50_000)
+    sizes = ordered._chunked(rows, cuts).groupBy("key", "_chunk").count().collect()
+    hot = [r["count"] for r in sizes if r.key == "hot"]
+    assert [r["_chunk"] for r in sizes if r.key == "cold"] == [None]
+    assert sum(hot) == n and len(hot) == 20 and max(hot) <= 2 * n / len(hot)
+
+
+def test_many_cuts_ascend_along_the_order(spark):
+    rows = spark.range(6_000).select((F.col("id") % 7).alias("a"), F.format_string("%05d", "id").alias("b"))
+    cuts = ordered.find_cuts(rows, [], ["a", "b"], 20)
+    chunks = [r[2] for r in ordered._chunked(rows, cuts).orderBy("a", "b").collect()]
+    assert chunks == sorted(chunks) and len(set(chunks)) > 4 * ordered.STRIDE
+
+
+@pytest.mark.parametrize("rows_per_chunk", [40, 10_000])
+def test_a_whole_frame_as_one_key(skewed, rows_per_chunk):
+    cuts = ordered.find_cuts(skewed, [], ["at", "id"], rows_per_chunk)
+    got = ordered.with_next(skewed, [], ["at", "id"], {"n": "id"}, cuts).select("id", "n")
+    plain = skewed.select("id", F.lead("id").over(Window.orderBy(F.col("at").asc_nulls_first(), "id")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_cuts_of_another_order_are_refused(skewed):
+    cuts = ordered.find_cuts(skewed, ["key"], ["at"], 50)
+    with pytest.raises(ValueError):
+        ordered.with_next(skewed, ["key"], ["id"], {"n": "id"}, cuts)
+
+
 @pytest.mark.parametrize("rows_per_chunk", [10, 10_000])
 def test_percentiles(skewed, rows_per_chunk):
     got = ordered.nearest_rank_percentiles(skewed, ["key"], "at", [50, 95], rows_per_chunk)
