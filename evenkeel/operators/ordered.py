@@ -25,12 +25,12 @@ from evenkeel.session import durable
 
 ROWS_PER_CHUNK = 2_000_000
 #: Sampled rows per chunk; with this many a chunk of twice the mean is eight deviations away.
-SAMPLES_PER_CHUNK = 200
+SAMPLES_PER_CHUNK = 64
 #: A key is cut into no more chunks than this; beyond it the chunks grow instead.
-MOST_CHUNKS = 4096
+MOST_CHUNKS = 65_536
 BROADCAST_BYTES = 16 << 20
-#: A row's chunk is found in two steps: among every 64th cut, then among the 64 that follow it.
-STRIDE = 64
+#: A row's chunk is found in two steps: among every 256th cut, then among the 256 from there.
+STRIDE = 256
 
 
 @dataclass(frozen=True)
