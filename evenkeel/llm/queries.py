@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import jaccard, lattice, line_dedup, lm, sanitise, secrets, spans, topk, toxicity, transducer, winnowing
+from evenkeel.llm import jaccard, lattice, line_dedup, lm, merkle, sanitise, secrets, spans, topk, toxicity, transducer, winnowing
 from evenkeel.llm.tables import given, id_remainder
 
 
@@ -85,6 +85,20 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("hit_spans")
 
 
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = merkle.with_edit(given(spark, folder, "documents"))
+    for text, tree in (("text", "own"), ("edited", "later"), ("next_text", "next")):
+        rows = merkle.with_tree(rows, text, tree)
+    return rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("own.root").alias("fingerprint"), F.col("later.root").alias("edited_fingerprint"),
+        merkle.likeness(F.col("own"), F.col("later")).alias("near_edited"),
+        merkle.likeness(F.col("own"), F.col("next")).alias("near_next"),
+        F.size("own.sections").cast("long").alias("n_sections"), F.size("own.paragraphs").cast("long").alias("n_paragraphs"),
+        F.size(F.array_except("later.paragraphs", "own.paragraphs")).cast("long").alias("n_added"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_jaccard_join": op2_jaccard_join,
@@ -96,8 +110,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_personal_data": op9_personal_data,
     "op10_winnowing": op10_winnowing,
+    "op11_fingerprints": op11_fingerprints,
 }
 
+
+def _tree_sql(text: str, name: str) -> str:
+    """The nodes of a text's tree as columns of DuckDB, each level under its own name."""
+    ends = "CASE WHEN left(x, 1) IN ('0', '8') OR x = sha256('') THEN chr(10) ELSE ' ' END"
+    return f"""
+        {name}_p AS (SELECT *, list_transform(string_split({text}, chr(10)), lambda x: sha256(x)) AS {name}_para,
+                       string_split(regexp_replace({text}, '([^{merkle.PLAIN}])\\x20', '\\1 ' || chr(10), 'g'), chr(10)) AS {name}_leaf FROM %s),
+        {name}_s AS (SELECT *, list_transform(string_split(rtrim(array_to_string(list_transform({name}_para, lambda x: x || {ends}), ''), chr(10)), chr(10)), lambda x: sha256(x)) AS {name}_sec FROM {name}_p),
+        {name}_r AS (SELECT *, sha256(array_to_string({name}_sec, ' ')) AS {name}_root FROM {name}_s),
+        {name}_t AS (SELECT *, list_distinct(list_concat(['r' || {name}_root], list_transform({name}_sec, lambda x: 's' || x),
+                       list_transform({name}_para, lambda x: 'p' || x), list_transform({name}_leaf, lambda x: 'l' || x))) AS {name}_all FROM {name}_r)"""
+
+
 ORACLES: dict[str, str] = {
     "op4_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS c FROM embeddings
@@ -130,4 +158,15 @@ ORACLES: dict[str, str] = {
              i AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY doc_id)
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)""",
+    "op11_fingerprints": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+             n AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC NULLS LAST), first_value(t) OVER (ORDER BY doc_id DESC NULLS LAST)) AS x FROM d),
+             e AS (SELECT *, substring(t, 1, (length(t) - length(t) // 3)::INT) || substring(x, 1, (length(t) // 3)::INT) AS e FROM n),
+             {_tree_sql("t", "a") % "e"}, {_tree_sql("e", "b") % "a_t"}, {_tree_sql("x", "c") % "b_t"}
+        SELECT doc_id, length(t) AS n_chars, sha256(e) AS edited_sha256, a_root AS fingerprint, b_root AS edited_fingerprint,
+               2.0::DOUBLE * len(list_intersect(a_all, b_all)) / (len(a_all) + len(b_all)) AS near_edited,
+               2.0::DOUBLE * len(list_intersect(a_all, c_all)) / (len(a_all) + len(c_all)) AS near_next,
+               len(a_sec) AS n_sections, len(a_para) AS n_paragraphs,
+               len(list_distinct(list_filter(b_para, lambda x: NOT list_contains(a_para, x)))) AS n_added
+        FROM c_t""",
 }
