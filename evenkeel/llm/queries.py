@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import jaccard, lattice, line_dedup, lm, merkle, sanitise, secrets, spans, topk, toxicity, transducer, winnowing
-from evenkeel.llm.tables import given, id_remainder
+from evenkeel.llm import jaccard, lattice, line_dedup, lm, merkle, negatives, sanitise, secrets, spans, topk, toxicity, transducer, trie, winnowing
+from evenkeel.llm.tables import given, id_remainder, written
 
 
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,6 +99,19 @@ def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = trie.integer_parts(given(spark, folder, "embeddings"), "vec_id", "embedding", 4096)
+    books = trie.train(vectors, parts=8, entries=16, rounds=6)
+    coded = trie.with_label_error(written(trie.encode(vectors, books), "codes"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = negatives.labelled_vectors(given(spark, folder, "embeddings"), "vec_id", label, "embedding", 256)
+    return negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_jaccard_join": op2_jaccard_join,
@@ -111,9 +124,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_winnowing": op10_winnowing,
     "op11_fingerprints": op11_fingerprints,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
+def _code_rounds_sql(rounds: int) -> str:
+    """Rounds of assigning parts ``p`` to codebooks ``b0`` and averaging; the last codebook is ``b<rounds>``."""
+    steps = ""
+    for k in range(1, rounds + 1):
+        steps += f"""
+             a{k} AS MATERIALIZED (SELECT p, x, n, min(d * 16 + e) % 16 AS e FROM
+                      (SELECT p.p, p.x, p.n, b.e, list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM p JOIN b{k - 1} b ON p.p = b.p) GROUP BY p, x, n),
+             m{k} AS (SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS c FROM
+                      (SELECT p, e, i, sum(n * x[i])::BIGINT AS s, sum(n)::BIGINT AS c FROM a{k}, unnest(range(1, len(x) + 1)) t(i) GROUP BY p, e, i) GROUP BY p, e),
+             b{k} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{k - 1} b LEFT JOIN m{k} m ON b.p = m.p AND b.e = m.e),"""
+    return steps
+
+
 def _tree_sql(text: str, name: str) -> str:
     """The nodes of a text's tree as columns of DuckDB, each level under its own name."""
     ends = "CASE WHEN left(x, 1) IN ('0', '8') OR x = sha256('') THEN chr(10) ELSE ' ' END"
@@ -169,4 +197,24 @@ ORACLES: dict[str, str] = {
                len(a_sec) AS n_sections, len(a_para) AS n_paragraphs,
                len(list_distinct(list_filter(b_para, lambda x: NOT list_contains(a_para, x)))) AS n_added
         FROM c_t""",
+    "op12_vector_codes": f"""
+        WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             q AS (SELECT r, vec_id, t.p, v[t.p * (len(v) // 8) + 1 : (t.p + 1) * (len(v) // 8)] AS x FROM v, range(8) t(p)),
+             p AS MATERIALIZED (SELECT p, x, count(*) AS n FROM q GROUP BY p, x),
+             b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM q QUALIFY e < 16),{_code_rounds_sql(6)}
+             z AS MATERIALIZED (SELECT p, x, min(d * 16 + e) % 16 AS e, min(d) AS d FROM
+                      (SELECT p.p, p.x, b.e, list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM p JOIN b6 b ON p.p = b.p) GROUP BY p, x),
+             c AS (SELECT v.vec_id, v.label, string_agg(printf('%02x', z.e), '' ORDER BY z.p) AS code, sum(z.d)::BIGINT AS error
+                   FROM v JOIN q ON v.r = q.r JOIN z ON q.p = z.p AND q.x = z.x GROUP BY v.r, v.vec_id, v.label),
+             h AS (SELECT sha256(string_agg(c[i]::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM b6, unnest(range(1, len(c) + 1)) t(i))
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (SELECT codebooks_sha256 FROM h) AS codebooks_sha256 FROM c""",
+    "op13_hard_negatives": """
+        WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, list_dot_product(a.c, d.c)::BIGINT AS score FROM v a JOIN v d ON a.vec_id <> d.vec_id WHERE a.vec_id % 100 = 0),
+             p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+               s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score QUALIFY rank <= 5""",
 }
