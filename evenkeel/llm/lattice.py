@@ -26,6 +26,8 @@ from evenkeel.llm.transducer import MARK, Vocabulary, _hash_stretches, _points
 
 #: Added to the lowest sound score for a character outside the vocabulary, which becomes its bytes.
 UNKNOWN_PENALTY = -10.0
+#: Bytes of text whose lattices are in memory at once; a lattice takes some hundred times its text.
+SLICE_BYTES = 768 << 10
 
 
 class Lattice:
@@ -61,8 +63,8 @@ class Lattice:
         self.byte_starts = np.append(0, np.cumsum(self.byte_lengths))[:-1]
         self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
-    def words(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Words:
-        return Words(self, points, starts, lengths)
+    def words(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ranked: bool = True) -> Words:
+        return Words(self, points, starts, lengths, ranked)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of a text's ids: pieces and bytes put together, without the blank that encoding adds."""
@@ -71,9 +73,12 @@ class Lattice:
 
 
 class Words:
-    """Lattices of many different words; node ``heads[k] + p`` stands before the p-th character of word k."""
+    """Lattices of many different words; node ``heads[k] + p`` stands before the p-th character of word k.
 
-    def __init__(self, lattice: Lattice, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    ``ranked=False`` keeps the best paths alone and leaves out what a search for further ones needs.
+    """
+
+    def __init__(self, lattice: Lattice, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ranked: bool = True):
         self.lengths = lengths
         self.heads = np.cumsum(lengths + 1) - lengths - 1
         nodes = int((lengths + 1).sum())
@@ -118,6 +123,16 @@ class Words:
             edge = edge[edge >= 0]
             taken[edge] = True
             now = self.src[edge]
+        path = np.flatnonzero(taken)
+        path = path[np.lexsort((self.src[path], self.word[path]))]
+        self.path = path
+        self.path_of = np.searchsorted(self.word[path], np.arange(len(lengths) + 1))
+        if ranked:
+            self._prepare_ranking(taken)
+
+    def _prepare_ranking(self, taken: np.ndarray) -> None:
+        """What a word loses at least by leaving its best path, and the edges into each node."""
+        nodes, lengths = len(self.forward), self.lengths
         # forward scores from the other side, for the best path through each edge
         self.backward = np.full(nodes, -np.inf)
         self.backward[self.heads + lengths] = 0.0
@@ -133,10 +148,6 @@ class Words:
         runs = np.flatnonzero(np.append(True, np.diff(self.word[by_word]) != 0)) if len(by_word) else by_word
         if len(runs):
             self.loss[self.word[by_word][runs]] = self.best[self.word[by_word][runs]] - np.maximum.reduceat(through[by_word], runs)
-        path = np.flatnonzero(taken)
-        path = path[np.lexsort((self.src[path], self.word[path]))]
-        self.path = path
-        self.path_of = np.searchsorted(self.word[path], np.arange(len(lengths) + 1))
         by_dst = np.argsort(self.dst, kind="stable")
         self.into, self.into_of = by_dst, np.searchsorted(self.dst[by_dst], np.arange(nodes + 1))
 
@@ -200,7 +211,7 @@ def encode_slice(lattice: Lattice, data: np.ndarray, offsets: np.ndarray, n_best
     starts = np.flatnonzero(head)
     lengths = np.diff(np.append(starts, len(points)))
     _, pick, word = np.unique(_hash_stretches(points, starts, lengths), return_index=True, return_inverse=True)
-    words = lattice.words(points, starts[pick], lengths[pick])
+    words = lattice.words(points, starts[pick], lengths[pick], n_best > 1)
     letter = points[starts[pick]]
 
     def ids_of(path: np.ndarray, k: int) -> list[int]:
@@ -224,6 +235,8 @@ def encode_slice(lattice: Lattice, data: np.ndarray, offsets: np.ndarray, n_best
     word_edges = np.searchsorted(starts, edges)
     sums = np.append(0.0, np.cumsum(words.best[word]))
     score = sums[word_edges[1:]] - sums[word_edges[:-1]]
+    if n_best == 1:
+        return ids, token_heads[word_edges], score, [[(float(x), [])] for x in score]
     loss = words.loss[word]
     searched: dict[int, list] = {}
     best = []
@@ -278,7 +291,7 @@ def encode(documents: DataFrame, path: str, n_best: int = 3, keep_ids: bool = Tr
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = lattice_for(path)
         for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column(1)):
+            for first, end, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
                 ids, heads, score, best = encode_slice(lattice, data, offsets, n_best)
                 flat = ids.astype("<i4")
                 digests, restored = [], []

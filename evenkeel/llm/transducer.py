@@ -8,8 +8,10 @@ transition reads one character and carries the number of tokens emitted, which m
 States are made when first met and kept in a dense table, through which all different words of a slice step together.
 
 Words enter in the start state, since no piece goes on from a letter to a word mark. A very long word is cut into
-chunks, each run from a guessed entry; the chunks' maps (entry to exit and count) are composed from the left, and
-a map is evaluated again where the guess was wrong.
+chunks. The state map of a chunk takes each entry state that can occur to the exit state and the tokens emitted; maps
+compose associatively, so a prefix scan over them gives every chunk's entry and the total in a logarithmic number of
+steps. Entries that can occur are those the map before leads to; all chunks are run together from what a few warm-up
+characters lead to, and then, again together, from entries that are still missing.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 from evenkeel.llm.arrays import mixed, text_slices, worker_cache
 
 MARK = "▁"
-#: States kept from one slice to the next; characters with a column of their own; long words and their chunks.
-KEPT_STATES, COLUMNS, CHUNK, WARM_UP = 120_000, 255, 2048, 96
+#: States and judged pairs kept from one slice to the next, which bounds a worker's memory; bytes of text in a slice.
+KEPT_STATES, KEPT_PAIRS, SLICE_BYTES = 120_000, 1_500_000, 768 << 10
+#: Characters with a column of their own; long words and their chunks.
+COLUMNS, CHUNK, WARM_UP = 255, 2048, 96
 #: Pieces below a trie place that are looked at one by one.
 LISTED = 30
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -112,6 +116,9 @@ class Vocabulary:
             else:
                 next_right, right = age(right), self.halves_of(right)[0]
 
+    def forget(self) -> None:
+        self._runs.clear()
+
     def mark_tokens(self, n: int) -> int:
         """Tokens of ``n`` word marks in a row that no word has taken."""
         if n not in self._runs:
@@ -149,11 +156,16 @@ class Transducer:
             if all(x is not None for x in parts):
                 pieces = sum(((() if self.ends[child] is None else (self.ends[child],)) + x for child, x in zip(self.trie[node].values(), parts, strict=True)), ())
                 self.below[node] = pieces if len(pieces) <= LISTED else None
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.possible: dict[tuple[int, str], frozenset | None] = {}
         self.clear()
 
+    def full(self) -> bool:
+        return len(self.states) > KEPT_STATES or len(self.apart) + len(self.possible) > KEPT_PAIRS
+
     def clear(self) -> None:
+        """Forget every state and every judgement; those in use are made again."""
+        self.apart: dict[int, bool] = {}
+        self.possible: dict[tuple[int, str], frozenset | None] = {}
+        self.vocabulary.forget()
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
         self.rare: dict[tuple[int, int], tuple[int, int]] = {}
@@ -176,9 +188,10 @@ class Transducer:
     def _stay_apart(self, left: str | None, right: str) -> bool:
         if left is None:
             return True
-        if (left, right) not in self.apart:
-            self.apart[left, right] = self.vocabulary.stay_apart(left, right)
-        return self.apart[left, right]
+        pair = self.vocabulary.pieces[left] << 32 | self.vocabulary.pieces[right]
+        if pair not in self.apart:
+            self.apart[pair] = self.vocabulary.stay_apart(left, right)
+        return self.apart[pair]
 
     def _narrowed(self, node: int, last: str | frozenset | None) -> str | frozenset | None:
         """What is worth knowing of the piece before: where few pieces may still follow, just which of them can."""
@@ -236,21 +249,43 @@ class Transducer:
             self.to[state, column], self.emits[state, column] = nxt, out
         return int(self.to[state, column]), int(self.emits[state, column])
 
-    def long_run(self, points: np.ndarray, start: int, length: int) -> tuple[int, int]:
-        """(exit state, tokens) of one long stretch: chunks run from guessed entries, again where a guess was wrong."""
+    def chunk_maps(self, points: np.ndarray, start: int, length: int) -> list[StateMap]:
+        """The map of each chunk of one long stretch, over the entries that can occur in it."""
         heads = np.arange(0, length, CHUNK)
         sizes = np.minimum(CHUNK, length - heads)
         warm = np.minimum(heads, WARM_UP)
-        fresh = np.full(len(heads), self.start)
-        entry, _ = self.run(points, start + heads - warm, warm, fresh)
-        left, tokens = self.run(points, start + heads, sizes, entry)
-        state, total = self.start, 0
-        for k in range(len(heads)):
-            if entry[k] != state:
-                one, more = self.run(points, np.array([start + heads[k]]), sizes[k : k + 1], np.array([state]))
-                left[k], tokens[k] = one[0], more[0]
-            state, total = int(left[k]), total + int(tokens[k])
-        return state, total
+        likely, _ = self.run(points, start + heads - warm, warm, np.full(len(heads), self.start))
+        maps: list[StateMap] = [{} for _ in heads]
+        missing = [(k, int(e)) for k, e in enumerate(likely)]
+        while missing:
+            chunk, entry = (np.array(x) for x in zip(*missing, strict=True))
+            left, tokens = self.run(points, start + heads[chunk], sizes[chunk], entry)
+            for (k, e), to, n in zip(missing, left.tolist(), tokens.tolist(), strict=True):
+                maps[k][e] = to, n
+            missing = [(k, e) for k in range(1, len(maps)) for e in {to for to, _ in maps[k - 1].values()} - maps[k].keys()]
+        return maps
+
+    def long_run(self, points: np.ndarray, start: int, length: int) -> tuple[int, int]:
+        """(exit state, tokens) of one long stretch: its chunks' maps, composed."""
+        return prefix_maps(self.chunk_maps(points, start, length))[-1][self.start]
+
+
+#: Entry state to (exit state, tokens emitted on the way).
+StateMap = dict[int, tuple[int, int]]
+
+
+def composed(first: StateMap, second: StateMap) -> StateMap:
+    """The map of two stretches one after the other; ``second`` knows every exit of ``first``."""
+    return {entry: (second[to][0], n + second[to][1]) for entry, (to, n) in first.items()}
+
+
+def prefix_maps(maps: list[StateMap]) -> list[StateMap]:
+    """The map of each prefix of stretches, by doubling: every step composes all maps with those a power of two before."""
+    step = 1
+    while step < len(maps):
+        maps = [*maps[:step], *(composed(maps[k - step], maps[k]) for k in range(step, len(maps)))]
+        step *= 2
+    return maps
 
 
 def _points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,7 +313,7 @@ def count_tokens(machine: Transducer, data: np.ndarray, offsets: np.ndarray) ->
     points, heads = _points(data, offsets)
     if not len(points):
         return np.zeros(len(offsets) - 1, np.int64)
-    if len(machine.states) > KEPT_STATES:
+    if machine.full():
         machine.clear()
     known = machine.column[points] >= 0
     utf8 = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
@@ -338,7 +373,7 @@ def token_counts(documents: DataFrame, path: str, limit: int = 4096) -> DataFram
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = machine_for(path)
         for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column(1)):
+            for first, end, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
                 n = pa.array(count_tokens(machine, data, offsets))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first:end], pa.array(np.diff(offsets)), n], ["doc_id", "n_bytes", "n_tokens"])
 

@@ -62,9 +62,29 @@ def test_syllable_words_and_long_words(machine, monkeypatch):
     assert counts(machine, texts) == wanted(texts)
 
 
+def test_maps_of_chunks_compose_associatively(machine, monkeypatch):
+    monkeypatch.setattr(transducer, "CHUNK", 16)
+    monkeypatch.setattr(transducer, "WARM_UP", 0)
+    rng = random.Random(9)
+    text = "".join(rng.choice(["inter", "nation", "al", "ization", "e", "===", "//"]) for _ in range(300))
+    points = np.array([ord(c) for c in text])
+    maps = machine.chunk_maps(points, 0, len(points))
+    a, b, c = maps[3:6]
+    assert transducer.composed(transducer.composed(a, b), c) == transducer.composed(a, transducer.composed(b, c))
+    state, total = machine.start, 0
+    for k, prefix in enumerate(transducer.prefix_maps(maps)):
+        exits, tokens = machine.run(points, np.array([16 * k]), np.array([min(16, len(points) - 16 * k)]), np.array([state]))
+        state, total = int(exits[0]), total + int(tokens[0])
+        assert prefix[machine.start] == (state, total)
+
+
 def test_table_is_dropped_and_made_again(machine, monkeypatch):
     monkeypatch.setattr(transducer, "KEPT_STATES", 3)
     assert counts(machine, FIXED) == wanted(FIXED) and counts(machine, FIXED) == wanted(FIXED)
+    monkeypatch.setattr(transducer, "KEPT_STATES", 10**9)
+    monkeypatch.setattr(transducer, "KEPT_PAIRS", 3)
+    assert counts(machine, FIXED) == wanted(FIXED)
+    assert len(machine.apart) > 3 and machine.full()
 
 
 def test_frame(spark):
