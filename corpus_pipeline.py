@@ -41,7 +41,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The best segmentation of each document."""
-    return lattice.encode(docs, tokenizer_path()).drop("n_best")
+    return lattice.encode(docs, tokenizer_path(), n_best=1).drop("n_best")
 
 
 STAGES: list[tuple[str, Stage]] = [
