@@ -58,10 +58,6 @@ def regex_group(text: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
 
 
-def try_number(value: Column, scale: int = 9) -> Column:
-    return value.try_cast(f"decimal(38,{scale})")
-
-
 def percent(part: Column, whole: Column) -> Column:
     """part / whole * 100 as double, NULL for an empty whole."""
     return F.try_divide(part.cast("double"), F.nullif(whole, F.lit(0)).cast("double")) * 100

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions import scalars
-from evenkeel.functions.canon import column, type_of
+from evenkeel.functions.canon import column, number_text, type_of
 from evenkeel.functions.logical import is_outer_kind, lacks_scale, logical_name, signature, spark_type, target_type, types_agree
 from evenkeel.operators.checks import to_checks, union_all
 
@@ -33,12 +33,13 @@ def _type_text(dtype: T.DataType) -> str:
 
 
 def _loses_digits(col: Column, dtype: T.DataType, scale: int) -> Column | None:
-    if isinstance(dtype, T.DecimalType) and dtype.scale <= scale:
-        return None
-    if not isinstance(dtype, (T.DecimalType, T.FloatType, T.DoubleType, T.StringType)):
+    """Whether a number has more digits after its point than ``scale``, however many it has."""
+    if isinstance(dtype, T.DecimalType):
+        return None if dtype.scale <= scale else col != F.round(col, scale)
+    if not isinstance(dtype, (T.FloatType, T.DoubleType, T.StringType)):
         return None
-    number = col.try_cast("decimal(38,18)")
-    return number != F.round(number, scale)
+    text = number_text(col.cast("string"))
+    return text.contains(".") & (F.length(F.substring_index(text, ".", -1)) > scale)
 
 
 def _static(name: str, rule: str, passed: bool, expected: str | None, actual: str | None) -> Column:

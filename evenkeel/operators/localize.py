@@ -15,13 +15,27 @@ def _key_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> Column:
     return digest.key_bucket(F.concat_ws("\x1f", *[canonical(column(k), type_of(df, k)) for k in key]), buckets)
 
 
-def _row_hash(df: DataFrame, columns: Sequence[str], exact: bool) -> Column:
+ROW_WORDS = [f"_w{i}" for i in digest.WORDS]
+
+
+def differing_rows_of(df: DataFrame, key: Sequence[str], columns: Sequence[str], exact: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """(key..., keep..., _w0 to _w3): the whole digest of each row as four longs, 256 bits where ``exact``, else 128."""
     text = digest.exact_row_hash(df, columns) if exact else digest.fast_row_hash(df, columns)
-    return digest.prefix60(text).alias("_hash")
+    names = list(dict.fromkeys([*key, *keep]))
+    hashed = df.select(*[column(c).alias(c) for c in names], text.alias("_hash"))
+    some = len(ROW_WORDS) if exact else len(ROW_WORDS) // 2
+    words = [digest.hash_word(F.col("_hash"), i) if i < some else F.lit(0).cast("bigint") for i in range(len(ROW_WORDS))]
+    return hashed.select(*[column(c) for c in names], *[w.alias(n) for w, n in zip(words, ROW_WORDS, strict=True)])
+
+
+def _sums(words: Sequence[str], name: str, condition: str) -> list[Column]:
+    """Sums of the two halves of each word on one side; exact up to 2**31 rows of a group."""
+    halves = [h for w in words for h in (f"shiftrightunsigned({w}, 32)", f"{w} & 4294967295L")]
+    return [F.expr(f"coalesce(sum({h}) FILTER (WHERE {condition}), 0L) AS {name}{i}") for i, h in enumerate(halves)]
 
 
-def _compared(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Count and hash sum of either side per group, where they differ.
+def _compared(source: DataFrame, target: DataFrame, by: Sequence[str], words: Sequence[str] = ROW_WORDS) -> DataFrame:
+    """Row count and hash sums of either side per group, where they differ.
 
     Both sides go through one aggregation, so a key with very many rows is folded before
     the shuffle and no rows are paired with each other.
@@ -30,15 +44,16 @@ def _compared(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFr
     folded = both.groupBy(*by).agg(
         F.expr("count_if(_s) AS n_source"),
         F.expr("count_if(NOT _s) AS n_target"),
-        *digest.sum60("_hash", "s", "_s"),
-        *digest.sum60("_hash", "t", "NOT _s"),
+        *_sums(words, "s", "_s"),
+        *_sums(words, "t", "NOT _s"),
     )
-    return folded.where("NOT (n_source = n_target AND s0 = t0 AND s1 = t1 AND s2 = t2)")
+    same = " AND ".join(f"s{i} = t{i}" for i in range(2 * len(words)))
+    return folded.where(f"NOT (n_source = n_target AND {same})")
 
 
-def _unequal_buckets(source: DataFrame, target: DataFrame) -> list[int]:
+def _unequal_buckets(source: DataFrame, target: DataFrame, words: Sequence[str]) -> list[int]:
     """Buckets whose folded hashes differ: at most as many numbers as there are buckets."""
-    return [row["_bucket"] for row in _compared(source, target, ["_bucket"]).select("_bucket").collect()]
+    return [row["_bucket"] for row in _compared(source, target, ["_bucket"], words).select("_bucket").collect()]
 
 
 def _surplus(both: DataFrame, hash60: Column, by: Sequence[str], buckets: int | None) -> DataFrame:
@@ -47,7 +62,7 @@ def _surplus(both: DataFrame, hash60: Column, by: Sequence[str], buckets: int |
         bucket = F.pmod(hash60, F.lit(buckets))
         folded = both.select(bucket.alias("_bucket"), hash60.alias("_hash"), (F.col("_d") > 0).alias("_s"))
         sides = [folded.where(c).drop("_s") for c in ("_s", "NOT _s")]
-        both = both.where(bucket.isin(_unequal_buckets(*sides)))
+        both = both.where(bucket.isin(_unequal_buckets(*sides, ["_hash"])))
     surplus = both.groupBy(*by).agg(F.sum("_d").alias("_d")).where(F.col("_d") != 0)
     side = F.when(F.col("_d") > 0, "only_source").otherwise("only_target")
     return surplus.select(*by, side.alias("side"), F.abs("_d").alias("copies"))
@@ -60,28 +75,30 @@ def differing_keys(
     columns: Sequence[str],
     buckets: int | None = 256,
     exact: bool = True,
+    hashed: bool = False,
 ) -> DataFrame:
     """(key..., side, n_source, n_target) for each key whose rows differ.
 
     ``side`` is only_source, only_target or differs. With ``buckets`` set, a first job folds both
     sides per hash bucket of the key and brings back the unequal buckets, at most ``buckets``
     numbers; only their rows are hashed again and shuffled by key. Pass None where most buckets
-    are expected to differ: the first job would then only add a scan.
+    are expected to differ: the first job would then only add a scan. ``hashed`` frames hold the
+    result of ``differing_rows_of`` already.
     """
     if buckets is not None:
         folded = [
-            df.select(_key_bucket(df, key, buckets).alias("_bucket"), _row_hash(df, columns, exact))
+            differing_rows_of(df.withColumn("_bucket", _key_bucket(df, key, buckets)), [], columns, exact, ["_bucket"])
             for df in (source, target)
         ]
-        unequal = _unequal_buckets(*folded)
+        unequal = _unequal_buckets(*folded, ROW_WORDS)
         source, target = (df.where(_key_bucket(df, key, buckets).isin(unequal)) for df in (source, target))
-    hashed = [df.select(*[column(k).alias(k) for k in key], _row_hash(df, columns, exact)) for df in (source, target)]
+    sides = [source, target] if hashed else [differing_rows_of(df, key, columns, exact) for df in (source, target)]
     side = (
         F.when(F.col("n_target") == 0, "only_source")
         .when(F.col("n_source") == 0, "only_target")
         .otherwise("differs")
     )
-    return _compared(*hashed, list(key)).select(*key, side.alias("side"), "n_source", "n_target")
+    return _compared(*sides, list(key)).select(*key, side.alias("side"), "n_source", "n_target")
 
 
 def key_sample(differences: DataFrame, key: Sequence[str], n: int = 10) -> DataFrame:

@@ -37,6 +37,7 @@ def org_hierarchy(org_units: DataFrame) -> DataFrame:
         "org_unit_id",
         "parent_unit_id",
         "unit_name",
+        max_depth=6,
         keep=["unit_code", "unit_name", "unit_type", "site_code"],
     )
     return tree.withColumnsRenamed({"root_id": "root_unit_id", "path": "path_names"})

@@ -230,6 +230,7 @@ ORACLES: dict[str, str] = {
         SELECT 'same' AS target, 'PASS' AS status UNION ALL SELECT 'same_fast', 'PASS'
         UNION ALL SELECT 'changed', {_pass('n = 0')} FROM d UNION ALL SELECT 'changed_fast', {_pass('n = 0')} FROM k"""),
     "localize_keys": over("orders_target", _ORDER_DIFF),
+    "localize_by_sketch": over("orders_target", _ORDER_DIFF),
     "localize_summary": over("orders_target", f"SELECT side, count(*) AS n FROM ({_ORDER_DIFF}) GROUP BY side"),
     "localize_sample": over("orders_target", f"SELECT * FROM ({_ORDER_DIFF}) ORDER BY o_orderkey LIMIT 10"),
     "localize_duplicate_keys": over("lineitem_target", f"""
@@ -470,6 +471,17 @@ ORACLES: dict[str, str] = {
         SELECT user_id, event_id, event_type, value FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         WHERE rn = 1""",
+    "org_ancestry": over("org_links", """
+        WITH RECURSIVE good AS (
+            SELECT unit_id, unit_id AS root_id, 0 AS depth FROM org_links WHERE parent_id IS NULL
+            UNION ALL SELECT l.unit_id, g.root_id, g.depth + 1 FROM org_links l JOIN good g ON l.parent_id = g.unit_id),
+        lost AS (
+            SELECT unit_id, parent_id AS root_id, 1 AS depth FROM org_links
+            WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT unit_id FROM org_links)
+            UNION ALL SELECT l.unit_id, g.root_id, g.depth + 1 FROM org_links l JOIN lost g ON l.parent_id = g.unit_id)
+        SELECT unit_id, root_id, depth, 'rooted' AS status FROM good UNION ALL SELECT unit_id, root_id, depth, 'orphan' FROM lost
+        UNION ALL SELECT unit_id, NULL, NULL, 'cycle' FROM org_links
+        WHERE unit_id NOT IN (SELECT unit_id FROM good) AND unit_id NOT IN (SELECT unit_id FROM lost)""", recursive=True),
     "org_hierarchy": over("ods_org_unit", """
         WITH RECURSIVE tree AS (
             SELECT *, org_unit_id AS root_unit_id, 0 AS depth, unit_name AS path_names FROM ods_org_unit

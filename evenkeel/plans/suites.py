@@ -21,11 +21,13 @@ from evenkeel.operators import (
     dimension,
     encoding,
     foreign_keys,
+    hierarchy,
     localize,
     merge,
     metrics,
     parity,
     signoff,
+    sketch,
 )
 from evenkeel.operators.intervals import followers_within
 from evenkeel.operators.ordered import latest_per_key
@@ -148,6 +150,11 @@ def localize_keys(orders, orders_target):
     return localize.differing_keys(orders, orders_target, ["o_orderkey"], ORDER_COLUMNS)
 
 
+@query
+def localize_by_sketch(orders, orders_target):
+    return sketch.keys_by_sketch(orders, orders_target, ["o_orderkey"], ORDER_COLUMNS)
+
+
 @query
 def localize_duplicate_keys(lineitem, lineitem_target):
     key = ["l_orderkey", "l_linenumber"]
@@ -497,7 +504,8 @@ def egress_roundtrip(spark, elt_staging):
 
 @query
 def control_totals(raw_events):
-    return writers.control_totals(raw_events, "value_text")
+    found = writers.control_totals(raw_events, "value_text")
+    return found.select("row_count", F.col("total").cast("decimal(38,9)").alias("total"))
 
 
 @query
@@ -650,6 +658,11 @@ def org_hierarchy(ods_org_unit):
     return marts.org_hierarchy(ods_org_unit)
 
 
+@query
+def org_ancestry(org_links):
+    return hierarchy.ancestry(org_links, "unit_id", "parent_id")
+
+
 @query
 def active_agents(fact_interaction, dim_agent):
     """The approximate counts themselves differ by engine: report whether they are within 5 %."""

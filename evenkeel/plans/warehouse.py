@@ -27,6 +27,11 @@ SOURCES = {
                concat('U', CAST(p_partkey AS STRING)) AS unit_code, p_name AS unit_name, p_type AS unit_type,
                p_brand AS site_code
         FROM {part}""",
+    "org_links": """
+        SELECT p_partkey AS unit_id,
+               CASE WHEN p_partkey % 700 = 1 THEN NULL WHEN p_partkey % 700 = 300 THEN -p_partkey
+                    WHEN p_partkey % 700 = 500 THEN p_partkey + 40 ELSE p_partkey - 1 END AS parent_id
+        FROM {part}""",
     "fact_interaction": f"""
         SELECT event_id AS interaction_id, user_id % 100 AS agent_sk, event_type AS channel,
                CASE WHEN user_id % 41 = 0 THEN NULL ELSE concat('C', CAST(user_id AS STRING)) END AS customer_ref,

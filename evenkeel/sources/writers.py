@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions import digest
+from evenkeel.functions import digest, exact
 from evenkeel.functions.canon import column
 from evenkeel.operators.checks import side_by_side, to_checks, union_all
 from evenkeel.session import setting
@@ -147,11 +147,6 @@ def bulk_load(spark: SparkSession, load: Load) -> DataFrame:
     return union_all(checks)
 
 
-def _total(df: DataFrame, name: str | None) -> DataFrame:
-    amount = F.lit(0) if name is None else F.coalesce(column(name).try_cast("decimal(38,9)"), F.lit(0))
-    return df.agg(F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,9)").alias("total"))
-
-
 def egress_parity(
     name: str,
     source: DataFrame,
@@ -183,14 +178,15 @@ def egress_parity(
         ),
     ]
     if control_total is not None:
-        totals = side_by_side(_total(source, control_total), _total(exported, control_total), ["total"])
+        totals = side_by_side(*[exact.digit_sums(df, column(control_total)) for df in (source, exported)], ["sums", "beyond"])
+        totals = totals.select("*", *[exact.sums_text(f"{side}_sums").alias(f"{side}_total") for side in "st"])
         checks.append(
             to_checks(
                 totals,
                 "egress_parity",
                 f"{name} (control total {control_total})",
-                F.col("s_total") == F.col("t_total"),
-                F.concat(F.lit("variance "), F.abs(F.col("s_total") - F.col("t_total")).cast("string")),
+                (F.col("s_total") == F.col("t_total")) & (F.col("s_beyond") == 0) & (F.col("t_beyond") == 0),
+                F.concat(F.lit("variance "), exact.difference_text("s_sums", "t_sums")),
                 F.col("s_total"),
                 F.col("t_total"),
             )
@@ -199,9 +195,9 @@ def egress_parity(
 
 
 def control_totals(df: DataFrame, amount: Column | str) -> DataFrame:
-    """One row (row_count, total); a NULL or unparseable amount counts as 0."""
+    """One row (row_count, total, beyond): the total with all its digits, as text.
+
+    A NULL or unparseable amount counts as 0; ``beyond`` counts numbers of more digits than ``exact`` holds.
+    """
     value = column(amount) if isinstance(amount, str) else amount
-    total = F.sum(F.coalesce(value.try_cast("decimal(38,9)"), F.lit(0)))
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"), F.coalesce(total, F.lit(0)).cast("decimal(38,9)").alias("total")
-    )
+    return exact.digit_sums(df, value).select("row_count", exact.sums_text("sums").alias("total"), "beyond")
