@@ -401,6 +401,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'events_raw (control total amount)', {_pass('a = 0')} FROM k"""),
     "control_totals": over("raw_events", """
         SELECT count(*) AS row_count, CAST(coalesce(sum(try_cast(value_text AS DECIMAL(38,9))), 0) AS DOUBLE) AS total FROM raw_events"""),
+    "exact_totals": over("digit_amounts", """
+        SELECT count(*) AS row_count, rtrim(rtrim(CAST(sum(try_cast(amount AS DECIMAL(38,20))) AS VARCHAR), '0'), '.') AS total, 0 AS beyond
+        FROM digit_amounts"""),
     "retained_events": "SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-23 00:00:00' GROUP BY 1",
     "incremental_rows": f"""
         SELECT 'events' AS source_table, {ts('max(ts)', 'last_value')}, '2024-02-01 00:00:00' AS last_run_ts, 'run-2' AS run_id

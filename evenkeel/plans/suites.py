@@ -504,8 +504,12 @@ def egress_roundtrip(spark, elt_staging):
 
 @query
 def control_totals(raw_events):
-    found = writers.control_totals(raw_events, "value_text")
-    return found.select("row_count", F.col("total").cast("decimal(38,9)").alias("total"))
+    return writers.control_totals(raw_events, "value_text")
+
+
+@query
+def exact_totals(digit_amounts):
+    return writers.exact_totals(digit_amounts, "amount")
 
 
 @query

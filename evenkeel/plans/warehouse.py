@@ -270,6 +270,11 @@ SOURCES = {
                       CASE WHEN event_id % 83 = 0 THEN '99' ELSE lpad(CAST(day(ts) AS STRING), 2, '0') END) AS day_text,
                props
         FROM {events}""",
+    "digit_amounts": """
+        SELECT CASE WHEN event_id % 50 = 0 THEN 'none' WHEN event_id % 51 = 0 THEN NULL
+                    ELSE concat(CASE WHEN event_id % 3 = 0 THEN '-' ELSE '' END, CAST(event_id AS STRING), '.',
+                                lpad(CAST(event_id AS STRING), 20, '0')) END AS amount
+        FROM {events}""",
     "raw_invoices": """
         SELECT o_orderkey AS invoice_id, @MS(o_orderdate) AS issued_ms, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
                CASE o_orderstatus WHEN 'F' THEN 'i' WHEN 'O' THEN 'U' ELSE 'D' END AS op

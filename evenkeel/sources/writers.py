@@ -194,10 +194,15 @@ def egress_parity(
     return union_all(checks)
 
 
-def control_totals(df: DataFrame, amount: Column | str) -> DataFrame:
+def exact_totals(df: DataFrame, amount: Column | str) -> DataFrame:
     """One row (row_count, total, beyond): the total with all its digits, as text.
 
     A NULL or unparseable amount counts as 0; ``beyond`` counts numbers of more digits than ``exact`` holds.
     """
     value = column(amount) if isinstance(amount, str) else amount
     return exact.digit_sums(df, value).select("row_count", exact.sums_text("sums").alias("total"), "beyond")
+
+
+def control_totals(df: DataFrame, amount: Column | str) -> DataFrame:
+    """One row (row_count, total): ``exact_totals`` as a number, rounded once to nine places."""
+    return exact_totals(df, amount).select("row_count", F.col("total").cast("decimal(38,9)").alias("total"))

@@ -77,15 +77,15 @@ def test_totals_keep_every_digit(spark, texts):
     getcontext().prec = 200
     wanted = sum((Decimal(t) for t in texts if t not in (None, "x")), Decimal(0))
     df = spark.createDataFrame([(t,) for t in texts], "amount string")
-    got = writers.control_totals(df, "amount").first()
+    got = writers.exact_totals(df, "amount").first()
     assert (got.row_count, Decimal(got.total), got.beyond) == (len(texts), wanted, 0)
     assert "e" not in got.total.lower() and got.total == format(wanted.normalize() if wanted else Decimal(0), "f")
 
 
 def test_totals_of_other_types_and_of_too_many_digits(spark):
     df = spark.createDataFrame([(1, Decimal("1.25"), 0.1), (None, None, None), (-3, Decimal("-2.50"), 0.2)], "i int, d decimal(10,2), x double")
-    assert [writers.control_totals(df, c).first().total for c in ("i", "d", "x")] == ["-2", "-1.25", "0.3"]
-    assert writers.control_totals(spark.createDataFrame([("1e-80",), ("2",)], "a string"), "a").first() == (2, "2", 1)
+    assert [writers.exact_totals(df, c).first().total for c in ("i", "d", "x")] == ["-2", "-1.25", "0.3"]
+    assert writers.exact_totals(spark.createDataFrame([("1e-80",), ("2",)], "a string"), "a").first() == (2, "2", 1)
 
 
 def test_egress_total_sees_the_tenth_place(spark):
