@@ -317,6 +317,14 @@ ORACLES: dict[str, str] = {
     "merge_apply": over("order_delta", f"""
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {ts('o_orderdate', 'o_orderdate')}, o_orderpriority
         FROM ({_MERGED}) WHERE action <> 'delete'"""),
+    "versioned_merge": over("order_patch", f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {ts('o_orderdate', 'o_orderdate')}, o_orderpriority FROM
+            (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM order_patch)
+             UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM order_patch WHERE op <> 'D')"""),
+    "versioned_history": over("order_patch", """
+        SELECT 1 AS version, 'load' AS run_id, 'overwrite' AS action, count(*) AS n_rows, false AS kept_some FROM orders
+        UNION ALL SELECT 2, 'patch', 'merge', (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM order_patch))
+            + (SELECT count(*) FROM order_patch WHERE op <> 'D'), (SELECT count(*) FROM orders) > 1000"""),
     "merge_actions": over("order_delta", f"SELECT action, count(*) AS n FROM ({_MERGED}) GROUP BY action"),
     "merge_idempotent": over("order_delta", f"""
         SELECT 'merge' AS target, 'PASS' AS status
@@ -391,6 +399,11 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'orc_other', 'FAIL', '-1', n FROM p
         UNION ALL SELECT 'orc_other (partition column no_such_column)', 'FAIL', NULL, NULL
         UNION ALL SELECT 'missing', 'FAIL', NULL, NULL"""),
+    "file_intake": """
+        WITH k AS (SELECT event_id % 8 AS part, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY 1),
+             r(part, reason) AS (VALUES (0, 'good'), (1, 'good'), (2, 'header'), (3, 'order'), (4, 'checksum'), (5, 'unlisted'), (6, 'good'), (7, 'ambiguous'))
+        SELECT part, reason, CASE WHEN reason = 'good' THEN n ELSE 0 END AS n_rows, CASE WHEN reason = 'good' THEN ids ELSE 0 END AS ids FROM k JOIN r USING (part)
+        UNION ALL SELECT 9, 'missing', 0, 0""",
     "egress_roundtrip": over("elt_staging", f"""
         WITH k AS (SELECT count(*) FILTER (WHERE status <> 'raw') AS n, sum(CASE WHEN status <> 'raw' THEN amount ELSE 0 END) AS a
                    FROM elt_staging)

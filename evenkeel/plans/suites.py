@@ -33,8 +33,9 @@ from evenkeel.operators.intervals import followers_within
 from evenkeel.operators.ordered import latest_per_key
 from evenkeel.plans import marts, staging
 from evenkeel.plans.warehouse import source
-from evenkeel.session import fresh_path
-from evenkeel.sources import readers, writers
+from evenkeel.session import durable, fresh_path
+from evenkeel.sources import intake, readers, writers
+from evenkeel.sources.versioned import VersionedTable
 from evenkeel.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,6 +364,24 @@ def merge_apply(orders, order_delta):
     return merge.apply_merge(orders, order_delta, ["o_orderkey"])
 
 
+def _patched(orders: DataFrame, order_patch: DataFrame) -> VersionedTable:
+    table = VersionedTable(orders.sparkSession, fresh_path(orders.sparkSession, "orders"), ("o_orderkey",), rows_per_file=1_000)
+    table.overwrite(orders, "load")
+    table.merge(order_patch, run_id="patch")
+    return table
+
+
+@query
+def versioned_merge(orders, order_patch):
+    return _patched(orders, order_patch).read()
+
+
+@query
+def versioned_history(orders, order_patch):
+    runs = _patched(orders, order_patch).history()
+    return runs.select("version", "run_id", "action", "n_rows", (F.col("kept_files") > 0).alias("kept_some"))
+
+
 @query
 def merge_actions(orders, order_delta):
     return merge.merge_actions(merge.apply_merge(orders, order_delta, ["o_orderkey"], with_action=True))
@@ -486,6 +505,29 @@ def bulk_load_check(spark, elt_staging, part):
     return verdicts(checks.union_all([writers.bulk_load(spark, load) for load in loads]))
 
 
+@query
+def file_intake(spark, events):
+    """Folders of files by event_id % 8, most with a planted fault: (part, reason, n_rows landed)."""
+    folder = fresh_path(spark, "intake")
+    rows = events.select("event_id", "user_id", "event_type", "value", (F.col("event_id") % 8).alias("part"))
+    sound, drifted, moved, packed = rows.where("part not in (2, 3, 6)"), *(rows.where(F.col("part") == k) for k in (2, 3, 6))
+    for df, compression in (
+        (sound, "none"), (drifted.withColumnRenamed("value", "amount"), "none"), (moved.select("user_id", "event_id", "event_type", "value", "part"), "none"), (packed, "gzip")
+    ):
+        df.write.mode("append").partitionBy("part").option("compression", compression).csv(folder, sep="|", header=True)
+    files = intake.examined(spark, folder).where(~F.col("file").startswith("_"))
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("bigint")
+    wrong = F.when(part == 4, F.lit("0" * 64)).otherwise(F.col("sha256"))
+    promised = durable(files.where(part != 5).select("file", wrong.alias("sha256")))
+    promised = promised.unionByName(promised.where(part == 7).withColumn("sha256", F.lit("1" * 64)))
+    promised = promised.unionByName(spark.createDataFrame([("part=9/gone.csv", "2" * 64)], "file string, sha256 string"))
+    found = durable(intake.judged(files, promised, ["event_id", "user_id", "event_type", "value"], "|"))
+    reasons = found.select(part.alias("part"), F.explode(F.when(F.size("reasons") == 0, F.array(F.lit("good"))).otherwise(F.col("reasons"))).alias("reason")).distinct()
+    landed = intake.landed(spark, found, "event_id bigint, user_id bigint, event_type string, value double", "|")
+    counted = landed.groupBy(F.regexp_extract("_file", "part=([0-9]+)", 1).cast("bigint").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"))
+    return reasons.join(counted, "part", "left").select("part", "reason", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("ids", F.lit(0)).alias("ids"))
+
+
 @query
 def egress_roundtrip(spark, elt_staging):
     columns = ["id", "channel", "amount", "event_ts", "status"]

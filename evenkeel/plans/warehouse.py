@@ -232,6 +232,13 @@ SOURCES = {
                CASE WHEN c_custkey % 37 = 0 THEN md5(c_name)
                     ELSE md5(concat(CAST(c_custkey AS STRING), '|', c_name, '|', c_mktsegment)) END AS row_hash
         FROM {customer}""",
+    "order_patch": """
+        SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + CAST(1 AS DOUBLE) AS o_totalprice, o_orderdate,
+               o_orderpriority, CASE WHEN o_orderkey % 5 = 0 THEN 'D' ELSE 'U' END AS op
+        FROM {orders} WHERE o_orderkey BETWEEN 100 AND 140
+        UNION ALL
+        SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'I'
+        FROM {orders} WHERE o_orderkey % 500 = 7""",
     "order_delta": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'D' AS op
         FROM {orders} WHERE o_orderkey % 10 = 3

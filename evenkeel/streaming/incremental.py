@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from evenkeel.functions.canon import column
+from evenkeel.sources.versioned import VersionedTable
 
 WATERMARKS = "source_table string, last_value string, last_run_ts timestamp, run_id string"
 
@@ -56,3 +57,27 @@ def append_stream(
     writer = unique.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.option("path", path)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def ledgered_stream(
+    stream: DataFrame, table: VersionedTable, name: str, checkpoint: str, check_column: str | None = None, available_now: bool = True
+) -> StreamingQuery:
+    """Append a stream to a versioned table, each batch exactly once, with one audit entry per batch.
+
+    The table's commit holds the last batch of ``name`` together with the batch's files. A batch that is played again
+    after a failure, before the checkpoint knew of it, finds its number there and adds nothing.
+    """
+
+    def take(rows: DataFrame, batch: int) -> None:
+        table.append(rows, name, batch, f"{name}-{batch}", check_column)
+
+    writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def audit_rows(table: VersionedTable) -> DataFrame:
+    """(run_id, action, n_rows, last_value, status) of every run, in the order of versions; n_rows counts rows added."""
+    before = F.coalesce(F.lag("n_rows").over(Window.orderBy("version")), F.lit(0))
+    added = F.col("n_rows") - F.when(F.col("action") == "overwrite", 0).otherwise(before)
+    # one row per version
+    return table.history().select("version", "run_id", "action", added.alias("n_rows"), "last_value", F.lit("SUCCESS").alias("status")).orderBy("version")
