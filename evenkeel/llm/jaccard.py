@@ -9,10 +9,10 @@
 3. The rest order their shingles by rarity. Two sets with enough overlap share one of their first
    ``n - ceil(0.75 n) + 1``. Each such shingle links its classes to its smallest one; the components of these links
    are clusters, and links run only inside one.
-4. Clusters are searched in blocks: for each class, the short inverted lists are merged by a heap and candidates that
-   reach T minus the number of long lists are looked up in those by binary search (DivideSkip). Classes already in
-   one component are not compared again. A cluster larger than a block is first joined around its smallest class,
-   then each pair of blocks that holds several components is searched.
+4. Clusters are searched in blocks by merging the short inverted lists of a class and looking candidates up in the long
+   ones (DivideSkip). ``near_duplicates`` finds every link and counts them for each class (``overlap``). ``keep_one``
+   needs the components alone: classes already in one component are not compared again there. A cluster larger than a
+   block is first joined around its smallest class, then each pair of blocks that holds several components is searched.
 """
 
 from __future__ import annotations
@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.arrays import mixed, packed, ranges, text_slices, unpacked, words_of
+from evenkeel.llm.jaccard_rules import DisjointSets, least_overlap, needed
+from evenkeel.llm.overlap import class_links
 from evenkeel.llm.tables import components, written
 
 SHINGLE = 5
-#: Links from this Jaccard similarity on, in hundredths.
-PERCENT = 75
 #: Buckets of hashes; classes in a block; share of a slice's classes from which a shingle is reported as frequent,
 #: least number of them, and share of all texts from which it is hot.
 BUCKETS, BLOCK, OFTEN, OFTEN_LEAST, HOT = 48, 1500, 0.004, 4, 0.004
@@ -72,16 +72,6 @@ def set_digests(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, (mixed(sums + sizes.astype(np.uint64)) >> np.uint64(1)).astype(np.int64), 0)
 
 
-def least_overlap(n: int) -> int:
-    """Fewest shingles a set of ``n`` shares with any set it links to."""
-    return -(-PERCENT * n // 100)
-
-
-def needed(n, m):
-    """Fewest shared shingles with which sets of ``n`` and ``m`` link."""
-    return -(-PERCENT * (n + m) // (100 + PERCENT))
-
-
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's id, hash of the text, set size and set digest; and, with a NULL size, the frequent shingles of each slice."""
     for batch in batches:
@@ -190,21 +180,6 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-class _Union:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def top(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        i, j = self.top(i), self.top(j)
-        self.up[max(i, j)] = min(i, j)
-
-
 def divide_skip(sizes: list[int], sets: list[np.ndarray], seen: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that join every pair of sets which reaches the threshold, directly or over other sets.
 
@@ -215,7 +190,7 @@ def divide_skip(sizes: list[int], sets: list[np.ndarray], seen: list[int] | None
     one component with it, there is nothing left to find.
     """
     order = sorted(range(len(sets)), key=lambda i: (sizes[i], i))
-    union, links = _Union(len(sets)), []
+    union, links = DisjointSets(len(sets)), []
     if seen is not None:
         firsts: dict[int, int] = {}
         for i, c in enumerate(seen):
@@ -276,7 +251,7 @@ def _searched(table: pa.Table) -> pa.Table:
     for rows in clusters.values():
         rows = list({r[0]: r for r in rows}.values())
         digests = [r[0] for r in rows]
-        joined, least = _Union(len(rows)), list(digests)
+        joined, least = DisjointSets(len(rows)), list(digests)
         for i, j in divide_skip([r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows]):
             a, b = joined.top(i), joined.top(j)
             joined.join(a, b)
@@ -336,8 +311,11 @@ def _links(members: DataFrame) -> DataFrame:
     return links.union(written(more, "more-links"))
 
 
-def _grouped(documents: DataFrame) -> DataFrame:
-    """What ``near_duplicates`` returns, same, the hash of the text, and component, which NULL ids have too."""
+def _grouped(documents: DataFrame, every_link: bool) -> DataFrame:
+    """What ``near_duplicates`` returns, same, the hash of the text, and component, which NULL ids have too.
+
+    Without ``every_link`` links inside a component are not looked for and n_links is NULL.
+    """
     buckets = max(BUCKETS, documents.rdd.getNumPartitions())
     texts = documents.select("doc_id", "text", F.xxhash64("text").alias("same"))
     first = written(texts.mapInArrow(_classes, "doc_id long, same long, n_shingles long, digest long, classes long"), "classes")
@@ -350,7 +328,7 @@ def _grouped(documents: DataFrame) -> DataFrame:
         texts.select("text").mapInArrow(_dealt(hot, buckets), "bucket int, owners binary, sizes binary, hashes binary")
         .groupBy("bucket").applyInArrow(_shared(buckets), "digest long, hashes binary, classes binary")
     )
-    sizes = rows.where("n_shingles > 0").groupBy("digest").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("least"))
+    sizes = rows.where("n_shingles > 0").groupBy("digest").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("least"), F.count("*").alias("weight"))
     gathered = returned.groupBy("digest").agg(F.collect_list(F.struct("hashes", "classes")).alias("parts"))
     ordered = gathered.join(sizes.select("digest", "n"), "digest").select("digest", "n", F.col("parts.hashes").alias("hashes"), F.col("parts.classes").alias("classes"))
     ordered = written(ordered.mapInArrow(_ordered, "digest long, n long, hashes binary, prefix array<long>"), "ordered")
@@ -359,32 +337,44 @@ def _grouped(documents: DataFrame) -> DataFrame:
     stars = prefixes.join(pivots, "shingle").where("digest <> pivot").select(F.col("pivot").alias("a"), F.col("digest").alias("b"))
     clusters = components(stars)
     members = ordered.drop("prefix").join(clusters, ordered["digest"] == clusters["node"]).withColumnRenamed("component", "cluster").drop("node")
-    joined = components(_links(written(members, "members")))
-    classes = sizes.join(joined, sizes["digest"] == joined["node"], "left").select("digest", "least", F.coalesce("component", "digest").alias("component"))
+    if every_link:
+        counted = class_links(members.join(sizes.select("digest", "weight"), "digest"))
+        joined = components(counted.where("least <> digest").select(F.col("least").alias("a"), F.col("digest").alias("b")))
+        counts = counted.groupBy(F.col("digest").alias("of")).agg(F.sum("links").alias("links"))
+        sizes = sizes.join(counts, sizes["digest"] == counts["of"], "left").drop("of")
+    else:
+        joined = components(_links(written(members, "members")))
+        sizes = sizes.withColumn("links", F.lit(None).cast("long"))
+    # copies of one text are linked with each other too
+    own = F.coalesce("links", F.lit(0)) + F.col("weight") - 1 if every_link else F.col("links")
+    classes = sizes.join(joined, sizes["digest"] == joined["node"], "left").select(
+        "digest", "least", own.alias("n_links"), F.coalesce("component", "digest").alias("component")
+    )
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = classes.join(least, "component").select(F.col("digest").alias("class"), "component", "component_id")
+    of_class = classes.join(least, "component").select(F.col("digest").alias("class"), "n_links", "component", "component_id")
     return rows.join(of_class, rows["digest"] == of_class["class"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "same", "component"
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(F.lit(0) if every_link else F.lit(None)).cast("long").alias("n_links"), "same", "component",
     )
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``documents`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, n_links) of each row of ``documents`` (doc_id, text).
 
     A text's words are its runs without white space, A-Z lowered; its set holds its distinct runs of five words, or
     all words as one if it has fewer. Texts of Jaccard similarity 0.75 or more are linked; component_id is the
-    smallest doc_id that links reach. NULL, empty and blank texts have no shingles and only themselves. Repeated
+    smallest doc_id that links reach and n_links the number of other rows linked with it directly. NULL, empty and blank texts have no shingles and only themselves. Repeated
     rows are equal texts and linked. A NULL id is never the smallest, so a component of NULL ids alone has NULL.
     Other columns are left out.
     """
-    return _grouped(documents).drop("same", "component")
+    return _grouped(documents, every_link=True).drop("same", "component")
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, that come first in their component by id, NULL last, and hash of the
     text; of repeated rows of that id and text one stays. Rows without words are in no component: those of an id
     stay once for each text, those of no id all."""
-    rows = written(_grouped(documents).where("n_shingles > 0").select("doc_id", "same", "component"), "grouped")
+    rows = written(_grouped(documents, every_link=False).where("n_shingles > 0").select("doc_id", "same", "component"), "grouped")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
     best = rows.groupBy("component").agg(F.min(place).alias("best"))
     each = rows.select("component", place.alias("place")).distinct()
