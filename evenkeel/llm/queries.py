@@ -167,7 +167,7 @@ ORACLES: dict[str, str] = {
         WITH l AS (SELECT doc_id, unnest(range(0, len(x)))::INTEGER AS line, unnest(x) AS t FROM
                      (SELECT doc_id, string_split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS x FROM documents)),
              w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM l),
-             s AS (SELECT DISTINCT doc_id, line, unnest(list_transform(range(0, len(w) - 4), lambda i: w[i + 1 : i + 5])) AS s FROM w WHERE len(w) >= 5),
+             s AS (SELECT DISTINCT doc_id, line, unnest(list_transform(range(0, greatest(len(w) - 4, 1)), lambda i: w[i + 1 : i + 5])) AS s FROM w WHERE len(w) > 0),
              n AS (SELECT doc_id, line, count(*) AS n FROM s GROUP BY ALL),
              o AS (SELECT a.doc_id, a.line, b.doc_id AS other, b.line AS other_line, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND (b.doc_id, b.line) < (a.doc_id, a.line) GROUP BY ALL),
              g AS (SELECT DISTINCT o.doc_id, o.line FROM o JOIN n x ON (x.doc_id, x.line) = (o.doc_id, o.line) JOIN n y ON (y.doc_id, y.line) = (o.other, o.other_line)
