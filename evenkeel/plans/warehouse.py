@@ -111,7 +111,7 @@ SOURCES = {
                l_linenumber AS exception_minutes, CAST(round(l_tax * 100) AS BIGINT) AS timeoff_minutes
         FROM {{lineitem}}""",
     "ods_attrition_event": """
-        SELECT c_custkey % 300 + 1000 AS agent_id, c_mktsegment AS reason FROM {customer} WHERE c_nationkey = 3""",
+        SELECT c_custkey - c_custkey % 3 + 1000 AS agent_id, c_mktsegment AS reason FROM {customer}""",
     "fact_queue_interval": f"""
         SELECT l_suppkey % 40 AS queue_sk, {_MONTH_KEY.format('l_shipdate')} AS date_key,
                l_linenumber AS answered_in_sl,
@@ -250,8 +250,7 @@ SOURCES = {
                CASE WHEN o_orderkey % 20 = 7 THEN 'I' ELSE 'D' END
         FROM {orders} WHERE o_orderkey % 10 = 7""",
     "user_state": """
-        SELECT DISTINCT user_id, 'start' AS event_type, CAST(0 AS DOUBLE) AS value FROM {events}
-        WHERE value > 200""",
+        SELECT DISTINCT user_id + 3 AS user_id, 'start' AS event_type, CAST(0 AS DOUBLE) AS value FROM {events}""",
     "user_changes": """
         SELECT user_id, event_type, value, ts AS changed_at, event_id,
                CASE WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS op
