@@ -178,6 +178,25 @@ _FOLLOWERS = """
       ON r.customer_ref = f.customer_ref AND r.start_ts > f.end_ts AND r.start_ts <= f.end_ts + INTERVAL 7 DAY
     GROUP BY ALL"""
 
+
+
+def _masked(name: str, given: str, secret: str) -> str:
+    """CTEs ``name`` (id, mask) of the texts of ``given`` (id, t): halves that take turns in being shifted."""
+    char, shift = "substr(a, i, 1)", "('0x' || substr(s, (i - 1) * 8 + 1, 8))::BIGINT"
+    moved = " ".join(
+        f"WHEN {char} BETWEEN '{chr(f)}' AND '{chr(f + n - 1)}' THEN chr((({shift} + ascii({char}) - {f}) % {n} + {f})::INTEGER)"
+        for f, n in ((48, 10), (65, 26), (97, 26))
+    )
+    text = f"{name}_0 AS (SELECT id, left(t, length(t) // 2) AS a, substr(t, length(t) // 2 + 1) AS b FROM ({given}))"
+    for r in range(8):
+        hashes = f"list_transform(range(0, (length(a) + 7) // 8), lambda j: sha256(concat_ws(':', '{secret}', '{r}', j, b)))"
+        text += f""",
+        {name}_{r + 1} AS (SELECT id, b AS a, coalesce(array_to_string(list_transform(range(1, length(a) + 1),
+                lambda i: CASE {moved} ELSE {char} END), ''), '') AS b
+            FROM (SELECT *, coalesce(array_to_string({hashes}, ''), '') AS s FROM {name}_{r}))"""
+    return f"{text},\n        {name} AS (SELECT id, a || b AS mask FROM {name}_8)"
+
+
 _PROFILE = """
     WITH v AS (SELECT count(*) FILTER (WHERE event_id IS NULL) AS id_nulls,
         count(*) FILTER (WHERE event_type IS NULL) AS type_nulls,
@@ -483,6 +502,16 @@ ORACLES: dict[str, str] = {
                         CAST(sum(length(line) + 10) AS DOUBLE) AS max_points FROM lines GROUP BY doc_id)
         SELECT *, round(scored_points / max_points * 100, 2) AS overall_pct FROM sums""",
     "range_self_join": over("fact_interaction", f"SELECT interaction_id, followers FROM ({_FOLLOWERS})"),
+    "follow_up_pairs": over("fact_interaction", f"""
+        SELECT f.interaction_id, r.interaction_id AS follower_id, {ts('r.start_ts', 'started_at')}
+        FROM fact_interaction f JOIN fact_interaction r
+          ON r.customer_ref = f.customer_ref AND r.start_ts > f.end_ts AND r.start_ts <= f.end_ts + INTERVAL 7 DAY"""),
+    "masked_customers": f"""
+        WITH {_masked('keys', 'SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS t FROM customer', 'example:customer')},
+        {_masked('names', 'SELECT c_custkey AS id, c_name AS t FROM customer', 'example:name')},
+        n AS (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1)
+        SELECT keys.mask AS customer_mask, names.mask AS name_mask, c_mktsegment, n_orders
+        FROM customer JOIN keys ON keys.id = c_custkey JOIN names ON names.id = c_custkey LEFT JOIN n ON o_custkey = c_custkey""",
     "latest_per_user": """
         SELECT user_id, event_id, event_type, value FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from evenkeel.functions import digest
 from evenkeel.functions.canon import column
+from evenkeel.functions.masking import mask
 from evenkeel.operators import (
     asserts,
     checks,
@@ -29,6 +30,7 @@ from evenkeel.operators import (
     signoff,
     sketch,
 )
+from evenkeel.operators.bands import band_join
 from evenkeel.operators.intervals import followers_within
 from evenkeel.operators.ordered import latest_per_key
 from evenkeel.plans import marts, staging
@@ -44,6 +46,8 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                 "l_returnflag", "l_shipdate"]
+#: Stands for a secret that a caller keeps elsewhere.
+MASK_KEY = "example"
 EPOCH_RULE = encoding.EpochRule("millis", expect_years=(2020, 2030))
 TIMELINE = dimension.Timeline(
     "user_id", "eff_from", "eff_to", "is_current", row_hash="row_hash", hash_columns=("user_id", "event_type")
@@ -693,6 +697,27 @@ def range_self_join(fact_interaction):
     return followers_within(fact_interaction, "interaction_id", "customer_ref", "start_ts", "end_ts", marts.FOLLOW_UP_DAYS)
 
 
+@query
+def follow_up_pairs(fact_interaction):
+    days = marts.FOLLOW_UP_DAYS
+    windows = fact_interaction.select("interaction_id", "customer_ref", "end_ts", F.expr(f"end_ts + INTERVAL {days} DAYS").alias("until"))
+    starts = fact_interaction.select("interaction_id", "customer_ref", "start_ts")
+    met = band_join(windows, starts, ["customer_ref"], "end_ts", "until", "start_ts", days * 86400)
+    return met.select("left.interaction_id", F.col("right.interaction_id").alias("follower_id"), F.col("right.start_ts").alias("started_at"))
+
+
+@query
+def masked_customers(customer, orders):
+    """Customers and their orders, joined on masked keys alone."""
+    people = customer.select(
+        mask(F.col("c_custkey"), MASK_KEY, "customer").alias("customer_mask"), mask(F.col("c_name"), MASK_KEY, "name").alias("name_mask"),
+        "c_mktsegment",
+    )
+    bought = orders.groupBy("o_custkey").agg(F.count("*").alias("n_orders"))
+    bought = bought.select(mask(F.col("o_custkey"), MASK_KEY, "customer").alias("customer_mask"), "n_orders")
+    return people.join(bought, "customer_mask", "left")
+
+
 @query
 def latest_per_user(events):
     order = [F.col("ts").desc(), F.col("event_id").desc()]
