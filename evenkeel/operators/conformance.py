@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -111,6 +111,83 @@ def conformance_profile(df: DataFrame, expected: Sequence[ExpectedColumn], scan_
     return row.select(F.inline(F.concat(entries, F.array(*values))))
 
 
+Counter = Callable[[Column], Column]
+
+
+def _one(bad: Column) -> Column:
+    return F.when(bad, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def _each(count: Counter, entries: Counter = lambda c: c) -> Counter:
+    """The sum of ``count`` over the elements of an array, or over the ``entries`` made of a value."""
+    return lambda c: F.coalesce(F.aggregate(entries(c), F.lit(0).cast("bigint"), lambda n, x: n + count(x)), F.lit(0).cast("bigint"))
+
+
+def _field(count: Counter, name: str) -> Counter:
+    """``count`` of a field; a NULL struct has no fields to judge."""
+    return lambda c: F.when(c.isNotNull(), count(c.getField(name))).otherwise(F.lit(0).cast("bigint"))
+
+
+def _counters(dtype: T.DataType, wanted: T.DataType, path: str, required: bool) -> list[tuple[str, str, Counter]]:
+    """(path, rule, counter of bad values) for a value and all values inside it, as far as both types have the shape."""
+    found = [(path, "not_null", lambda c: _one(c.isNull()))] if required else []
+    if isinstance(dtype, T.MapType) and isinstance(wanted, T.ArrayType):
+        pair = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
+        inner = _counters(pair, wanted.elementType, f"{path}[]", False)
+        found += [(p, rule, _each(count, F.map_entries)) for p, rule, count in inner]
+    elif isinstance(dtype, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        inner = _counters(dtype.elementType, wanted.elementType, f"{path}[]", True)
+        found += [(p, rule, _each(count)) for p, rule, count in inner]
+    elif isinstance(dtype, T.MapType) and isinstance(wanted, T.MapType):
+        keys = _counters(dtype.keyType, wanted.keyType, f"{path}{{key}}", False)
+        values = _counters(dtype.valueType, wanted.valueType, f"{path}{{value}}", not wanted.valueContainsNull)
+        found += [(p, rule, _each(count, F.map_keys)) for p, rule, count in keys]
+        found += [(p, rule, _each(count, F.map_values)) for p, rule, count in values]
+    elif isinstance(dtype, T.StructType) and isinstance(wanted, T.StructType):
+        named = {f.name.lower(): f for f in dtype.fields}
+        for want in wanted.fields:
+            if own := named.get(want.name.lower()):
+                inner = _counters(own.dataType, want.dataType, f"{path}.{want.name}", not want.nullable)
+                found += [(p, rule, _field(count, own.name)) for p, rule, count in inner]
+    elif not any(isinstance(t, (T.ArrayType, T.MapType, T.StructType)) for t in (dtype, wanted)):
+        if type(dtype) is not type(wanted):
+            found.append((path, "convertible", lambda c: _one(c.isNotNull() & c.try_cast(wanted).isNull())))
+        if isinstance(wanted, T.DecimalType) and _loses_digits(F.lit(None).cast(dtype), dtype, wanted.scale) is not None:
+            found.append((path, "scale", lambda c: _one(_loses_digits(c, dtype, wanted.scale))))
+    return found
+
+
+def nested_profile(df: DataFrame, expected: Sequence[ExpectedColumn]) -> DataFrame:
+    """(column, rule, bad, expected, actual) for the values inside arrays, maps and structs, counted in one pass.
+
+    ``column`` is a path: ``a[]`` the elements of an array, ``m{key}`` and ``m{value}`` those of a map, ``s.f`` a field. A
+    map may be declared as an array of key and value structs. The rules are not_null (array elements, and fields declared
+    NOT NULL), convertible and scale; bad counts values, not rows. Columns, fields and shapes that do not match are left
+    to ``conformance_profile``.
+    """
+    counted, labels = [], []
+    for want in expected:
+        dtype = type_of(df, want.name)
+        if not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)) or is_outer_kind(want.type):
+            continue
+        for path, rule, count in _counters(dtype, spark_type(want.type), want.name, not want.nullable):
+            labels.append((path, rule))
+            counted.append(F.coalesce(F.sum(count(column(want.name))), F.lit(0).cast("bigint")).alias(f"c{len(counted)}"))
+    if not counted:
+        return df.sparkSession.createDataFrame([], "column string, rule string, bad bigint, expected string, actual string")
+    rows = [
+        F.struct(
+            F.lit(path).alias("column"),
+            F.lit(rule).alias("rule"),
+            F.col(f"c{i}").alias("bad"),
+            F.lit("0").alias("expected"),
+            F.col(f"c{i}").cast("string").alias("actual"),
+        )
+        for i, (path, rule) in enumerate(labels)
+    ]
+    return df.agg(*counted).select(F.inline(F.array(*rows)))
+
+
 def source_mapping_profile(df: DataFrame, expected: Sequence[ExpectedColumn]) -> DataFrame:
     """The same profile on the legacy frame: declared source columns, their types, and the cast."""
     legacy = [

@@ -502,6 +502,18 @@ ORACLES: dict[str, str] = {
                         CAST(sum(length(line) + 10) AS DOUBLE) AS max_points FROM lines GROUP BY doc_id)
         SELECT *, round(scored_points / max_points * 100, 2) AS overall_pct FROM sums""",
     "range_self_join": over("fact_interaction", f"SELECT interaction_id, followers FROM ({_FOLLOWERS})"),
+    "conformance_nested": """
+        WITH v AS (SELECT l_linenumber AS n, l_returnflag AS flag, unnest([l_extendedprice, l_discount, l_extendedprice]) AS amount,
+                          unnest([1, 2, 3]) AS i FROM lineitem),
+        k AS (SELECT * FROM v WHERE i < 3 OR n <> 3),
+        c AS (SELECT 'amounts' AS "column", 'not_null' AS rule, 0 AS bad
+              UNION ALL SELECT 'amounts[]', 'not_null', count(*) FILTER (WHERE i = 3 AND n = 3) FROM v
+              UNION ALL SELECT 'amounts[].number', 'not_null', count(*) FILTER (WHERE n IS NULL) FROM k
+              UNION ALL SELECT 'amounts[].number', 'convertible', count(*) FILTER (WHERE n = 7) FROM k
+              UNION ALL SELECT 'amounts[].amount', 'convertible', 0
+              UNION ALL SELECT 'amounts[].amount', 'scale', count(*) FILTER (WHERE amount <> round(amount, 1)) FROM k
+              UNION ALL SELECT 'amounts[].flag', 'not_null', count(*) FILTER (WHERE flag = 'R' OR flag IS NULL) FROM k)
+        SELECT "column", rule, bad, '0' AS expected, CAST(bad AS VARCHAR) AS actual FROM c""",
     "follow_up_pairs": over("fact_interaction", f"""
         SELECT f.interaction_id, r.interaction_id AS follower_id, {ts('r.start_ts', 'started_at')}
         FROM fact_interaction f JOIN fact_interaction r

@@ -470,6 +470,17 @@ def conformance_profile(raw_events):
     return conformance.conformance_profile(raw_events, RAW_EXPECTED)
 
 
+@query
+def conformance_nested(lineitem):
+    """Two amounts of each line as an array of structs, with words for the sevenths and no flag for returned lines."""
+    flag = F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("flag")
+    number = F.when(F.col("l_linenumber") == 7, F.lit("seven")).otherwise(F.col("l_linenumber").cast("string")).alias("number")
+    amounts = [F.struct(number, F.col(c).cast("string").alias("amount"), flag) for c in ("l_extendedprice", "l_discount")]
+    rows = lineitem.select(F.array(*amounts, F.when(F.col("l_linenumber") != 3, amounts[0])).alias("amounts"))
+    declared = "array<struct<number: bigint not null, amount: decimal(38,1), flag: string not null>>"
+    return conformance.nested_profile(rows, [conformance.ExpectedColumn("amounts", declared, nullable=False)])
+
+
 @query
 def conformance_mapping(raw_events):
     return conformance.source_mapping_profile(raw_events, RAW_EXPECTED).select("column", "rule", "bad")
