@@ -128,6 +128,16 @@ def _field(count: Counter, name: str) -> Counter:
     return lambda c: F.when(c.isNotNull(), count(c.getField(name))).otherwise(F.lit(0).cast("bigint"))
 
 
+def _loses_inside(col: Column, dtype: T.DataType, scale: int) -> Column | None:
+    """``_loses_digits`` that spells a number out only where its text is not plain digits; here no code is compiled."""
+    lost = _loses_digits(col, dtype, scale)
+    if lost is None or isinstance(dtype, T.DecimalType):
+        return lost
+    text = col.cast("string")
+    after = F.length(F.rtrim(F.substring_index(text, ".", -1), F.lit("0")))
+    return F.when(text.rlike(r"^[0-9]+\z"), F.lit(False)).when(text.rlike(r"^-?[0-9]+\.[0-9]+\z"), after > scale).otherwise(lost)
+
+
 def _counters(dtype: T.DataType, wanted: T.DataType, path: str, required: bool) -> list[tuple[str, str, Counter]]:
     """(path, rule, counter of bad values) for a value and all values inside it, as far as both types have the shape."""
     found = [(path, "not_null", lambda c: _one(c.isNull()))] if required else []
@@ -152,8 +162,8 @@ def _counters(dtype: T.DataType, wanted: T.DataType, path: str, required: bool)
     elif not any(isinstance(t, (T.ArrayType, T.MapType, T.StructType)) for t in (dtype, wanted)):
         if type(dtype) is not type(wanted):
             found.append((path, "convertible", lambda c: _one(c.isNotNull() & c.try_cast(wanted).isNull())))
-        if isinstance(wanted, T.DecimalType) and _loses_digits(F.lit(None).cast(dtype), dtype, wanted.scale) is not None:
-            found.append((path, "scale", lambda c: _one(_loses_digits(c, dtype, wanted.scale))))
+        if isinstance(wanted, T.DecimalType) and _loses_inside(F.lit(None).cast(dtype), dtype, wanted.scale) is not None:
+            found.append((path, "scale", lambda c: _one(_loses_inside(c, dtype, wanted.scale))))
     return found
 
 
