@@ -27,6 +27,15 @@ def allowed(tolerance: Tolerance, base: Column) -> Column:
     return F.lit(float(Decimal(text)))
 
 
+def close_numbers(s: Column, t: Column, limit: Column) -> Column:
+    """Two texts of ``number_text`` are equal, or apart by at most a limit above 0; the difference is taken as in ``within``."""
+    apart = F.abs(s.try_cast("double") - t.try_cast("double"))
+    for kind, texts in EXACT.items():
+        fits = s.rlike(texts) & t.rlike(texts)
+        apart = F.when(fits, F.abs(s.try_cast(kind) - t.try_cast(kind)).cast("double")).otherwise(apart)
+    return (s == t) | ((limit > 0) & (apart <= limit))
+
+
 def within(source: Column, target: Column, tolerance: Tolerance) -> Column:
     """|source - target| within the tolerance of the source; equality where one is NULL or no number.
 
@@ -38,21 +47,22 @@ def within(source: Column, target: Column, tolerance: Tolerance) -> Column:
     limit = allowed(tolerance, source.try_cast("double"))
 
     def judged(x: Column) -> Column:
-        doubles = F.abs(x["s"].try_cast("double") - x["t"].try_cast("double"))
-        apart = doubles
-        for kind, texts in EXACT.items():
-            fits = x["s"].rlike(texts) & x["t"].rlike(texts)
-            apart = F.when(fits, F.abs(x["s"].try_cast(kind) - x["t"].try_cast(kind)).cast("double")).otherwise(apart)
-        close = (x["s"] == x["t"]) | ((limit > 0) & (apart <= limit))
-        return F.when(x["s"].isNull() | x["t"].isNull(), same).otherwise(close)
+        return F.when(x["s"].isNull() | x["t"].isNull(), same).otherwise(close_numbers(x["s"], x["t"], limit))
 
     return F.get(F.transform(F.array(both), judged), F.lit(0))
 
 
-def within_seconds(source: Column, target: Column, tolerance: Tolerance) -> Column:
-    """Instants equal to the second, or apart by at most ``tolerance`` seconds."""
+def terms(tolerance: Tolerance) -> tuple[float, float]:
+    """A tolerance as (absolute, share): ``absolute + share * |base|`` is what ``allowed`` gives."""
+    text = "0" if tolerance is None else str(tolerance).strip()
+    if text.endswith("%"):
+        return 0.0, float(Decimal(text[:-1].strip()) / 100)
+    return float(Decimal(text)), 0.0
+
+
+def within_seconds(source: Column, target: Column, seconds: Column) -> Column:
+    """Instants equal to the second, or apart by at most ``seconds``."""
     s, t = F.unix_seconds(source.cast("timestamp")), F.unix_seconds(target.cast("timestamp"))
-    seconds = float(Decimal(str(tolerance or 0)))
     return F.when(s.isNull() | t.isNull(), s.eqNullSafe(t)).otherwise(F.abs(s - t) <= seconds)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from evenkeel.functions import digest
 from evenkeel.functions.canon import FLOAT_DECIMALS, column, number_text, type_of
-from evenkeel.functions.tolerance import Tolerance, allowed, within, within_seconds
+from evenkeel.functions.tolerance import Tolerance, allowed, close_numbers, terms, within, within_seconds
 from evenkeel.operators.checks import side_by_side, to_checks, union_all
 
 
@@ -79,19 +79,18 @@ class Aggregate:
 
 
 def _long_aggregates(df: DataFrame, aggregates: Sequence[Aggregate]) -> DataFrame:
-    """(position, text, number, instant) per aggregate, all from one pass over the data."""
+    """(position, text, is_number, instant) per aggregate, all from one pass over the data."""
     row = df.agg(*[a.expression().alias(f"a{i}") for i, a in enumerate(aggregates)])
     entries = []
-    for i, a in enumerate(aggregates):
-        value, dtype = F.col(f"a{i}"), row.schema[f"a{i}"].dataType
-        instant = isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
-        numeric = isinstance(dtype, T.NumericType) or isinstance(dtype, T.StringType)
+    for i, field in enumerate(row.schema.fields):
+        value = F.col(field.name)
+        instant = isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType))
         entries.append(
             F.struct(
                 F.lit(i).alias("position"),
                 value.cast("string").alias("text"),
-                F.when(F.lit(numeric), number_text(value.cast("string"))).alias("number"),
-                (value.cast("timestamp") if instant else F.lit(None).cast("timestamp")).alias("instant"),
+                F.lit(isinstance(field.dataType, (T.NumericType, T.StringType))).alias("is_number"),
+                (value if instant else F.lit(None)).cast("timestamp").alias("instant"),
             )
         )
     return row.select(F.inline(F.array(*entries)))
@@ -100,29 +99,40 @@ def _long_aggregates(df: DataFrame, aggregates: Sequence[Aggregate]) -> DataFram
 def aggregate_parity(
     name: str, source: DataFrame, target: DataFrame, aggregates: Sequence[Aggregate]
 ) -> DataFrame:
-    """One check per aggregate; each side is read once for all of them."""
+    """One check per aggregate; each side is read once for all of them.
+
+    Names and tolerances are arrays looked up by position, so that the verdict is one expression over the rows
+    and planning does not grow with the number of aggregates.
+    """
     tagged = _long_aggregates(source, aggregates).withColumn("is_source", F.lit(True)).unionByName(
         _long_aggregates(target, aggregates).withColumn("is_source", F.lit(False))
-    )
+    ).withColumn("number", F.when(F.col("is_number"), number_text(F.col("text"))))
     picked = []
     for c in ("text", "number", "instant"):
         picked.append(F.max(F.when(F.col("is_source"), F.col(c))).alias(f"s_{c}"))
         picked.append(F.max(F.when(~F.col("is_source"), F.col(c))).alias(f"t_{c}"))
-    wide = tagged.groupBy("position").agg(*picked)
-    label, passed = F.lit(None), F.lit(False)
-    for i, a in enumerate(aggregates):
-        numbers = F.col("s_number").isNotNull() & F.col("t_number").isNotNull()
-        same = F.col("s_text").eqNullSafe(F.col("t_text"))
-        verdict = F.when(
-            F.col("s_instant").isNotNull(), within_seconds(F.col("s_instant"), F.col("t_instant"), a.tolerance)
-            if not str(a.tolerance).endswith("%") else same
-        ).when(numbers, within(F.col("s_number"), F.col("t_number"), a.tolerance)).otherwise(same)
-        label = F.when(F.col("position") == i, f"{name}.{a.label}").otherwise(label)
-        passed = F.when(F.col("position") == i, verdict).otherwise(passed)
+    absolute, share = zip(*(terms(a.tolerance) for a in aggregates), strict=True)
+    of = lambda values: F.get(F.lit(list(values)), F.col("position"))
+    base = F.coalesce(F.abs(F.col("s_number").try_cast("double")), F.lit(0.0))
+    wide = tagged.groupBy("position").agg(*picked).select(
+        "*",
+        of(f"{name}.{a.label}" for a in aggregates).alias("label"),
+        of(str(a.tolerance).strip().endswith("%") for a in aggregates).alias("by_share"),
+        of(absolute).alias("absolute"),
+        (of(absolute) + of(share) * base).alias("allowed"),
+    )
+    same = F.col("s_text").eqNullSafe(F.col("t_text"))
+    instants = F.col("s_instant").isNotNull()
+    numbers = F.col("s_number").isNotNull() & F.col("t_number").isNotNull()
+    passed = (
+        F.when(instants & ~F.col("by_share"), within_seconds(F.col("s_instant"), F.col("t_instant"), F.col("absolute")))
+        .when(numbers & ~instants, close_numbers(F.col("s_number"), F.col("t_number"), F.col("allowed")))
+        .otherwise(same)
+    )
     return to_checks(
         wide,
         "aggregate_parity",
-        label,
+        F.col("label"),
         passed,
         F.concat_ws(" ", F.lit("source:"), "s_text", F.lit("target:"), "t_text"),
         F.col("s_text"),
