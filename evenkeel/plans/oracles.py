@@ -524,6 +524,8 @@ ORACLES: dict[str, str] = {
         n AS (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1)
         SELECT keys.mask AS customer_mask, names.mask AS name_mask, c_mktsegment, n_orders
         FROM customer JOIN keys ON keys.id = c_custkey JOIN names ON names.id = c_custkey LEFT JOIN n ON o_custkey = c_custkey""",
+    "monthly_users": """
+        SELECT strftime(ts, '%Y-%m') AS month, event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY ALL""",
     "latest_per_user": """
         SELECT user_id, event_id, event_type, value FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)

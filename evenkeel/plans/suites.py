@@ -20,6 +20,7 @@ from evenkeel.operators import (
     checks,
     conformance,
     dimension,
+    distinct,
     encoding,
     foreign_keys,
     hierarchy,
@@ -729,6 +730,17 @@ def masked_customers(customer, orders):
     return people.join(bought, "customer_mask", "left")
 
 
+@query
+def monthly_users(events):
+    """Users a month and event type, from stored sketches a day; exact while a month has no more users than a sketch holds."""
+    spark = events.sparkSession
+    stored = fresh_path(spark, "sketches")
+    days = events.select(F.to_date("ts").alias("day"), "event_type", "user_id")
+    distinct.sketches(days, ["day", "event_type"], "user_id").write.parquet(stored)
+    by_month = spark.read.parquet(stored).withColumn("month", F.date_format("day", "yyyy-MM"))
+    return distinct.estimates(distinct.merged(by_month, ["month", "event_type"]), "n_users")
+
+
 @query
 def latest_per_user(events):
     order = [F.col("ts").desc(), F.col("event_id").desc()]
