@@ -34,8 +34,10 @@ def apply_merge(
 ) -> DataFrame:
     """Target after the delta: matched deletes and updates, unmatched inserts except deletes.
 
-    Two joins rather than one full outer join, which Spark cannot split when a key is hot. A
-    delta key that occurs twice stops the job. ``with_action`` adds a column of unchanged,
+    Two joins rather than one full outer join, which Spark cannot split when a key is hot. The
+    target's keys are not broadcast, however small their files look, and meet the delta in all
+    shuffle partitions: keys pack so well that joining partitions by size fills a task's memory.
+    A delta key that occurs twice stops the job. ``with_action`` adds a column of unchanged,
     update, insert or delete, and keeps deleted rows.
     """
     changes = _unique_delta(delta, keys) if check_unique else delta
@@ -57,8 +59,11 @@ def apply_merge(
     kept = joined.select(*[column(k) for k in keys], *updated, action.alias("action"))
     if not with_action:
         kept = kept.where(F.col("action") != "delete")
-    known = target.select(*keys).distinct()
-    fresh = changes.where(~column(op).eqNullSafe(F.lit(DELETE))).join(known, list(keys), "left_anti")
+    known = target.select(*keys).distinct().withColumn("_known", F.lit(True)).hint("merge")
+    asked = changes.where(~column(op).eqNullSafe(F.lit(DELETE)))
+    # a number given outright keeps the partitions apart, and an outer join stays above them
+    parts = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fresh = asked.repartition(parts, *[column(k) for k in keys]).join(known, list(keys), "left").where("_known is null")
     inserted = fresh.select(
         *[column(k) for k in keys],
         *[column(c) if c in changes.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in rest],

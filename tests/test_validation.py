@@ -225,6 +225,16 @@ def test_merge_refuses_repeated_delta_keys(merge_tables):
         merge.apply_merge(target, delta.unionByName(delta.limit(1)), ["invoice_id"]).collect()
 
 
+def test_merge_does_not_broadcast_target_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "k long, v string")
+    delta = spark.createDataFrame([(1, "x", "U"), (2, "y", "I"), (None, "n", "I"), (None, "m", "U"), (4, "z", "D")], "k long, v string, op string")
+    merged = merge.apply_merge(target, delta, ["k"])
+    want = [(1, "x"), (1, "x"), (None, "c"), (3, "d"), (2, "y"), (None, "n"), (None, "m")]
+    assert sorted((tuple(r) for r in merged.collect()), key=str) == sorted(want, key=str)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "SortMergeJoin" in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_foreign_keys(spark):
     child = spark.createDataFrame([(i, k) for i, k in enumerate([1, 1, 1, 2, 2, None, 9, 1])], "id int, k int")
     parent = spark.createDataFrame([(1,), (1,), (2,)], "k int")
