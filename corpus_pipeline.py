@@ -40,8 +40,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation of each document."""
-    return lattice.encode(docs, tokenizer_path(), n_best=1).drop("n_best")
+    """The best segmentations of each document, the best one as ids and the others as changes to it."""
+    return lattice.encode(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -58,5 +58,21 @@ def test_pieces(outputs):
     assert all(library.decode(list(r.ids)) == texts[r.doc_id] for r in rows)
 
 
+def test_pieces_ranks_further_segmentations(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, ""), (3, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in corpus_pipeline.pieces(spark, docs, FOLDER).collect()}
+    assert [len(rows[i].n_best) for i in (1, 2, 3)] == [3, 1, 1]
+    scores = [b.score for b in rows[1].n_best]
+    assert scores == sorted(scores, reverse=True) and abs(scores[0] - rows[1].score) < 1e-6 and not rows[1].n_best[0].changes
+    library, seen = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path()), set()
+    for b in rows[1].n_best:
+        ids = list(rows[1].ids)
+        for c in sorted(b.changes, key=lambda c: -c.first):
+            ids[c.first : c.end] = c.ids
+        seen.add(tuple(ids))
+        assert library.decode(ids) == "the cat sat on the mat"
+    assert len(seen) == 3
+
+
 def test_run(spark, outputs):
     assert corpus_pipeline.run(spark, FOLDER).count() == outputs[-1][2].count()
