@@ -5,10 +5,12 @@ it repeats exactly. Lines with the same set of tokens are one class. A line goes
 place, has its set or one of Jaccard similarity 0.75 or more, whether that line stays or not.
 
 Two sets of that similarity share one of the first ``n - ceil(0.75 n) + 1`` tokens under any common order. The order
-is by rarity: tokens that are frequent come last, the rest follow their hashes. Which are frequent is told by a list of
-bounded length made from the lines of a sixteenth of the texts; it only decides the order, so the result does not depend
-on it. A line's prefix is then known from the line alone, in one pass over the texts, and prefixes travel as 32-bit
-hashes, which can only add candidates. Classes that share a prefix token pass the length and positional filters in
+is by rarity: tokens that are frequent come last, the rest follow their hashes. At first none counts as frequent, so a
+line's prefix is known from the line alone, in one pass over the texts; prefixes travel as 32-bit hashes, which can only
+add candidates. Then the prefixes of all classes are counted. Tokens that too many have are frequent, and the classes
+that have one of those are read again for what comes instead; the other prefixes are the same in the new order. That is
+repeated, as what comes instead may be frequent too. The list is of bounded length; it only decides the order, so the
+result does not depend on it. Classes that share a prefix token pass the length and positional filters in
 pairs, first with the earliest class of each list, then, if no match came of that, with whole lists by length. A class
 is told there by its first line alone. Only
 lines of pairs that are left are read again, and their whole sets compared.
@@ -26,8 +28,8 @@ from evenkeel.llm.tables import lowered, written
 SHINGLE, PERCENT = 5, 75
 #: Rows of a few numbers that are broadcast at most; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
-#: The share of texts that frequent tokens are looked for in, and how many are kept.
-SAMPLE, FREQUENT = 16, 20_000
+#: Tokens in the prefixes of more than FEW classes are frequent; the most frequent are told in ROUNDS, FREQUENT in all.
+FEW, FREQUENT, ROUNDS = 64, 20_000, 4
 _LAST = 2**63 - 1
 
 
@@ -58,40 +60,56 @@ def _tokenized(each: DataFrame, frequent: Sequence[int] = ()) -> DataFrame:
     whole = F.array(F.xxhash64("h").bitwiseAND(F.lit(_LAST)))
     tokens = hashes.select(*at, F.when(F.size("h") < SHINGLE, whole).otherwise(runs).alias("t"))
     # tokens have 63 bits; the sign puts the rare ones first
-    known = f"t IN ({', '.join(f'{t}L' for t in frequent)})" if frequent else "false"
+    known = f"CAST(t & 2147483647 AS INT) IN ({', '.join(map(str, frequent))})" if frequent else "false"
     signed = F.expr(f"transform(t, t -> IF({known}, t, t | (-9223372036854775807L - 1L)))")
     sets = tokens.select(*at, F.sort_array(F.array_distinct(signed)).alias("tokens"))
     return sets.select(*at, F.size("tokens").alias("n"), "tokens")
 
 
-def lines(documents: DataFrame, frequent: Sequence[int] = ()) -> DataFrame:
+def _prefix() -> Column:
+    """32-bit hashes of the tokens of which similar sets share one."""
+    first = F.slice("tokens", F.lit(1), F.col("n") - _least(F.col("n")) + 1)
+    return F.transform(first, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+
+
+def lines(documents: DataFrame) -> DataFrame:
     """(doc, same, line, n, tokens, class) of each line that has a word; NULL ids come last, as the largest id.
 
     A class is named by 128 bits of hashes of its tokens.
     """
-    each = _tokenized(_named(documents).select("doc", "same", F.posexplode(_lines_of("text")).alias("line", "l")), frequent)
+    each = _tokenized(_named(documents).select("doc", "same", F.posexplode(_lines_of("text")).alias("line", "l")))
     return each.select("*", F.struct(F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b")).alias("class"))
 
 
-def _frequent(documents: DataFrame) -> list[int]:
-    """At most FREQUENT tokens that most of the sampled classes have."""
-    some = lines(documents.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)).groupBy("class").agg(F.first("tokens").alias("tokens"))
-    counts = some.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    return [r[0] & _LAST for r in counts.orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").collect()]
-
-
 def _beside(df: DataFrame, keys: DataFrame, on: str | list[str], how: str) -> DataFrame:
     """``df`` joined with the written ``keys``, which are broadcast if they were counted few."""
     return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, how)
 
 
-def _again(documents: DataFrame, named: DataFrame) -> DataFrame:
+def _again(documents: DataFrame, named: DataFrame, frequent: Sequence[int] = ()) -> DataFrame:
     """(at, n, tokens) of the lines ``at`` (doc, same, line) of written ``named``, read again from their texts."""
     wanted = written(named.groupBy("at.doc", "at.same").agg(F.collect_list("at.line").alias("wanted")), "places")
     met = _beside(_named(documents.where("text is not null")), wanted, ["doc", "same"], "inner").select("doc", "same", _lines_of("text").alias("l"), "wanted")
     some = met.select("doc", "same", F.explode(F.transform("wanted", lambda w: F.struct(w.alias("line"), F.get("l", w).alias("l")))).alias("w"))
     each = some.select("doc", "same", "w.line", "w.l").dropDuplicates(["doc", "same", "line"])
-    return _tokenized(each).select(F.struct("doc", "same", "line").alias("at"), "n", "tokens")
+    return _tokenized(each, frequent).select(F.struct("doc", "same", "line").alias("at"), "n", "tokens")
+
+
+def _rarest_first(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """Written ``classes`` (class, first, k, n, prefix) with their prefixes in an order that puts frequent tokens last."""
+    frequent: list[int] = []
+    for _ in range(ROUNDS):
+        counts = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > FEW)
+        unknown = counts.where(f"token NOT IN ({', '.join(map(str, frequent))})") if frequent else counts
+        new = [r[0] for r in unknown.orderBy(F.desc("n"), "token").limit(FREQUENT - len(frequent)).select("token").collect()]
+        if not new:
+            break
+        frequent += new
+        changed = classes.where(f"exists(prefix, t -> t IN ({', '.join(map(str, new))}))")
+        again = _again(documents, written(changed.select(F.col("first").alias("at")), "changed"), frequent).select("at", _prefix().alias("moved"))
+        both = classes.join(again, F.col("first") == F.col("at"), "left")
+        classes = written(both.select("class", "first", "k", "n", F.coalesce("moved", "prefix").alias("prefix")), "line-classes")
+    return classes
 
 
 def _fitting(pairs: DataFrame) -> DataFrame:
@@ -142,15 +160,12 @@ def later_lines(documents: DataFrame) -> DataFrame:
     doc is the id, the largest for NULL, and same a hash of the text. Rows of the same id and text are one document;
     rows of one id with different texts come in the order of that hash. NULL and empty texts have no lines.
     """
-    kept = lines(documents, _frequent(documents))
-    first = F.slice("tokens", F.lit(1), F.col("n") - _least(F.col("n")) + 1)
-    short = F.transform(first, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    table = written(kept.select("doc", "same", "line", "n", "class", short.alias("prefix")), "lines")
+    table = written(lines(documents).select("doc", "same", "line", "n", "class", _prefix().alias("prefix")), "lines")
     at = F.struct("doc", "same", "line")
     classes = table.groupBy("class").agg(
         F.min(at).alias("first"), F.count("*").alias("k"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
-    classes = written(classes, "line-classes")
+    classes = _rarest_first(documents, written(classes, "line-classes"))
     near = _matched(documents, classes).withColumn("near", F.lit(True))
     verdicts = classes.join(near, F.col("first") == F.col("at"), "left").where("near OR k > 1").select("class", "first", "near")
     return table.drop("prefix", "n").join(verdicts, "class").where(F.col("near").isNotNull() | (at != F.col("first"))).select("doc", "same", "line").distinct()

@@ -67,3 +67,38 @@ def test_repeats_of_short_lines_go_from_texts(spark):
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
     assert out == {1: rows[0][1], 2: "other text of more than five words", 4: "four words are", 5: "Home About"}
     assert {r.doc_id: r.removed for r in line_dedup.removed_lines(frame).collect()} == {1: "", 2: "0", 3: "0", 4: "", 5: "0"}
+
+
+def test_frequent_tokens_are_counted_in_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", 8)
+    rng = random.Random(5)
+    # 60 lines that share 40 words and have 30 of their own, some nearly the same as an earlier one
+    shared = [f"s{i}" for i in range(40)]
+    lines = [[*shared[:20], *(f"x{i}_{k}" for k in range(30)), *shared[20:]] for i in range(60)]
+    near = [list(x) for x in lines[:5]]
+    for x in near:
+        x[rng.randrange(20, 50)] = "other"
+    rows = [(i, " ".join(x)) for i, x in enumerate(lines + near)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {}
+
+    def kept(documents, classes, first=line_dedup._rarest_first):
+        found = first(documents, classes)
+        for name, df in (("before", classes), ("after", found)):
+            seen[name] = Counter(t for r in df.collect() for t in r.prefix)
+        return found
+
+    monkeypatch.setattr(line_dedup, "_rarest_first", kept)
+    out = {r.doc_id: r.removed for r in line_dedup.removed_lines(frame).collect()}
+    want = expected(rows)
+    assert out == {i: ",".join(map(str, want[i])) for i, _ in rows} and sum(map(len, want.values())) == 5
+    assert max(seen["before"].values()) > 50 and max(seen["after"].values()) <= 8
+
+
+def test_the_order_of_tokens_changes_no_result(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", 1)
+    monkeypatch.setattr(line_dedup, "FREQUENT", 40)
+    rows = corpus()
+    found = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = expected(rows)
+    assert found == {i: ",".join(map(str, want[i])) for i, _ in rows}
