@@ -7,18 +7,19 @@ place, has its set or one of Jaccard similarity 0.75 or more, whether that line
 Two sets of that similarity share one of the first ``n - ceil(0.75 n) + 1`` tokens under any common order. The order
 is by rarity: tokens that are frequent come last, the rest follow their hashes. At first none counts as frequent, so a
 line's prefix is known from the line alone, in one pass over the texts; prefixes travel as 32-bit hashes, which can only
-add candidates. Then the prefixes of all classes are counted. Tokens that too many have are frequent, and the classes
-that have one of those are read again for what comes instead; the other prefixes are the same in the new order. That is
-repeated, as what comes instead may be frequent too. The list is of bounded length; it only decides the order, so the
-result does not depend on it. Classes that share a prefix token pass the length and positional filters in
-pairs, first with the earliest class of each list, then, if no match came of that, with whole lists by length. A class
-is told there by its first line alone. Only
-lines of pairs that are left are read again, and their whole sets compared.
+add candidates. The prefixes of all classes are counted once. A class with a token that too many have there moves: its
+whole set is read again, and tokens that are frequent in the sets of those that move come last in their order. A pair of
+which one class stays shares a token of the first order that is not frequent; a pair that moves shares one of the
+second. The list of frequent tokens is of bounded length; it only decides the order, so the result does not depend on
+it. Classes that share a prefix token pass the length and positional filters in
+pairs, first with the earliest class of each list, then, if no match came of that, with whole lists. A class
+is told there by its first line alone. The whole prefixes of a pair bound what the sets can share; only
+lines of pairs that are left are read again, and their whole sets compared. Lines that move are read in the same pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ from evenkeel.llm.tables import lowered, written
 SHINGLE, PERCENT = 5, 75
 #: Rows of a few numbers that are broadcast at most; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
-#: Tokens in the prefixes of more than FEW classes are frequent; the most frequent are told in ROUNDS, FREQUENT in all.
-FEW, FREQUENT, ROUNDS = 64, 20_000, 4
+#: Tokens in the prefixes of more than FEW classes are frequent; FREQUENT are told at most.
+FEW, FREQUENT = 64, 20_000
 _LAST = 2**63 - 1
 
 
@@ -50,26 +51,26 @@ def _lines_of(text: str) -> Column:
     return F.split(body, "\n")
 
 
-def _tokenized(each: DataFrame, frequent: Sequence[int] = ()) -> DataFrame:
-    """(doc, same, line, n, tokens) of lines (doc, same, line, l) that have a word; ``frequent`` tokens come last."""
+def _tokenized(each: DataFrame) -> DataFrame:
+    """(doc, same, line, n, tokens) of lines (doc, same, line, l) that have a word."""
     at = ["doc", "same", "line"]
     words = each.select(*at, F.array_remove(F.split("l", " "), "").alias("w")).where(F.size("w") > 0)
     hashes = words.select(*at, F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
-    shingle = lambda i: F.xxhash64(*[F.get(F.col("h"), i + j) for j in range(SHINGLE)]).bitwiseAND(F.lit(_LAST))
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("h") - SHINGLE, F.lit(0))), shingle)
-    whole = F.array(F.xxhash64("h").bitwiseAND(F.lit(_LAST)))
-    tokens = hashes.select(*at, F.when(F.size("h") < SHINGLE, whole).otherwise(runs).alias("t"))
-    # tokens have 63 bits; the sign puts the rare ones first
-    known = f"CAST(t & 2147483647 AS INT) IN ({', '.join(map(str, frequent))})" if frequent else "false"
-    signed = F.expr(f"transform(t, t -> IF({known}, t, t | (-9223372036854775807L - 1L)))")
-    sets = tokens.select(*at, F.sort_array(F.array_distinct(signed)).alias("tokens"))
+    shingle = lambda w, i: F.xxhash64(w, *[F.get(F.col("h"), i + j) for j in range(1, SHINGLE)])
+    runs = F.transform(F.slice("h", 1, F.greatest(F.size("h") - SHINGLE + 1, F.lit(0))), shingle)
+    tokens = hashes.select(*at, F.when(F.size("h") < SHINGLE, F.array(F.xxhash64("h"))).otherwise(runs).alias("t"))
+    sets = tokens.select(*at, F.sort_array(F.array_distinct("t")).alias("tokens"))
     return sets.select(*at, F.size("tokens").alias("n"), "tokens")
 
 
-def _prefix() -> Column:
-    """32-bit hashes of the tokens of which similar sets share one."""
-    first = F.slice("tokens", F.lit(1), F.col("n") - _least(F.col("n")) + 1)
-    return F.transform(first, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+def _short(tokens: str | Column) -> Column:
+    """32-bit hashes of tokens."""
+    return F.transform(tokens, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+
+
+def _first(tokens: str | Column) -> Column:
+    """The first tokens of sets of ``n``, of which similar sets share one."""
+    return F.slice(tokens, F.lit(1), F.col("n") - _least(F.col("n")) + 1)
 
 
 def lines(documents: DataFrame) -> DataFrame:
@@ -86,30 +87,26 @@ def _beside(df: DataFrame, keys: DataFrame, on: str | list[str], how: str) -> Da
     return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, how)
 
 
-def _again(documents: DataFrame, named: DataFrame, frequent: Sequence[int] = ()) -> DataFrame:
+def _again(documents: DataFrame, named: DataFrame) -> DataFrame:
     """(at, n, tokens) of the lines ``at`` (doc, same, line) of written ``named``, read again from their texts."""
     wanted = written(named.groupBy("at.doc", "at.same").agg(F.collect_list("at.line").alias("wanted")), "places")
     met = _beside(_named(documents.where("text is not null")), wanted, ["doc", "same"], "inner").select("doc", "same", _lines_of("text").alias("l"), "wanted")
     some = met.select("doc", "same", F.explode(F.transform("wanted", lambda w: F.struct(w.alias("line"), F.get("l", w).alias("l")))).alias("w"))
     each = some.select("doc", "same", "w.line", "w.l").dropDuplicates(["doc", "same", "line"])
-    return _tokenized(each, frequent).select(F.struct("doc", "same", "line").alias("at"), "n", "tokens")
-
-
-def _rarest_first(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """Written ``classes`` (class, first, k, n, prefix) with their prefixes in an order that puts frequent tokens last."""
-    frequent: list[int] = []
-    for _ in range(ROUNDS):
-        counts = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > FEW)
-        unknown = counts.where(f"token NOT IN ({', '.join(map(str, frequent))})") if frequent else counts
-        new = [r[0] for r in unknown.orderBy(F.desc("n"), "token").limit(FREQUENT - len(frequent)).select("token").collect()]
-        if not new:
-            break
-        frequent += new
-        changed = classes.where(f"exists(prefix, t -> t IN ({', '.join(map(str, new))}))")
-        again = _again(documents, written(changed.select(F.col("first").alias("at")), "changed"), frequent).select("at", _prefix().alias("moved"))
-        both = classes.join(again, F.col("first") == F.col("at"), "left")
-        classes = written(both.select("class", "first", "k", "n", F.coalesce("moved", "prefix").alias("prefix")), "line-classes")
-    return classes
+    return _tokenized(each).select(F.struct("doc", "same", "line").alias("at"), "n", "tokens")
+
+
+def _one_of(numbers: Iterable[int]) -> str:
+    return f"t IN ({', '.join(map(str, numbers))})" if numbers else "(false)"
+
+
+def _rarest_first(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(first, n, prefix) of written ``classes`` in an order that puts last what is frequent in their ``sets`` (at, n, tokens)."""
+    own = _beside(sets.withColumnRenamed("at", "first"), classes.select("first"), "first", "inner").select("first", "n", _short("tokens").alias("tokens"))
+    counts = own.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > FEW)
+    frequent = [r[0] for r in counts.orderBy(F.desc("k"), "token").limit(FREQUENT).select("token").collect()]
+    rare, last = (F.expr(f"filter(tokens, t -> {x} {_one_of(frequent)})") for x in ("NOT", ""))
+    return own.select("first", "n", _first(F.concat(rare, last)).alias("prefix"))
 
 
 def _fitting(pairs: DataFrame) -> DataFrame:
@@ -128,30 +125,67 @@ def _fitting(pairs: DataFrame) -> DataFrame:
     return counted.where((F.col("met") + F.col("after")) * (100 + PERCENT) >= PERCENT * F.col("n")).select("x", "y")
 
 
-def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(at): the later ones of written ``pairs`` (x, y) whose sets are similar enough."""
-    named = written(pairs.select(F.col("x").alias("at")).union(pairs.select("y")).distinct(), "named")
-    sets = written(_again(documents, named), "sets")
-    x, y = (sets.select(F.col("at").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}")) for c in "xy")
-    both = pairs.join(x, "x").join(y, "y").withColumn("both", F.size(F.array_intersect("t_x", "t_y")))
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("at")).union(pairs.select("y")).distinct()
+
+
+def _likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of ``classes`` (first, n, prefix), those of written ``pairs`` (x, y) whose whole prefixes share enough, written.
+
+    What both sets have in the prefix that ends first is in the other prefix too; behind it a set has one token less
+    than the least overlap. Equal hashes of different tokens only add to what is shared.
+    """
+    known = classes.select(F.col("first").alias("at"), "n", "prefix")
+    own = written(_beside(known, written(_ends(pairs), "named"), "at", "inner"), "prefixes")
+    x, y = (own.select(F.col("at").alias(c), F.col("n").alias(f"n_{c}"), F.col("prefix").alias(f"p_{c}")) for c in "xy")
+    both = F.size(F.filter("p_x", lambda t: F.array_contains("p_y", t)))
+    most = both + F.greatest(_least(F.col("n_x")), _least(F.col("n_y"))) - 1
+    met = pairs.join(x, "x").join(y, "y").where(most * (100 + PERCENT) >= PERCENT * (F.col("n_x") + F.col("n_y")))
+    return written(met.select("x", "y"), "likely-pairs")
+
+
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(at): the later ones of written ``pairs`` (x, y) whose ``sets`` are similar enough."""
+    side = lambda c: _beside(sets.select(F.col("at").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"t_{c}")), pairs, c, "inner")
+    both = side("x").join(side("y"), ["x", "y"]).withColumn("both", F.size(F.array_intersect("t_x", "t_y")))
     near = both.where(F.col("both") * (100 + PERCENT) >= PERCENT * (F.col("n_x") + F.col("n_y")))
     return written(near.select(F.col("y").alias("at")).distinct(), "matched")
 
 
+def _lists(classes: DataFrame) -> DataFrame:
+    """(token, y, k), written: the prefix entries of ``classes`` (first, n, prefix) for tokens that ``k`` have, if over one."""
+    counts = written(classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("k")).where("k > 1"), "tokens")
+    entries = classes.select(F.col("first").alias("at"), "n", F.posexplode("prefix").alias("place", "token"))
+    return written(_beside(entries, counts, "token", "inner").select("token", F.struct("at", "n", "place").alias("y"), "k"), "lists")
+
+
+def _open_pairs(lists: DataFrame, first: DataFrame) -> DataFrame:
+    """(x, y), written: the pairs of entries of ``lists`` that fit and whose later class is not in written ``first`` (at)."""
+    still = _beside(lists.select("token", "y").withColumn("at", F.col("y.at")), first, "at", "left_anti").select("token", "y")
+    return written(_fitting(still.join(lists.select("token", F.col("y").alias("x")), "token")), "rest-pairs")
+
+
 def _matched(documents: DataFrame, classes: DataFrame) -> DataFrame:
     """(at): the first lines of those ``classes`` (first, n, prefix) to which an earlier one is similar."""
-    prefixes = classes.select(F.col("first").alias("at"), "n", F.posexplode("prefix").alias("place", "token"))
-    tokens = written(prefixes.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token"), "tokens")
-    lists = written(_beside(prefixes, tokens, "token", "inner").select("token", F.struct("at", "n", "place").alias("y")), "lists")
+    lists = _lists(classes)
     earliest = lists.groupBy("token").agg(F.min_by("y", "y.at").alias("x"))
-    first = _verified(documents, written(_fitting(lists.join(earliest, "token")), "first-pairs"))
-    still = written(lists.join(first, F.col("y.at") == F.col("at"), "left_anti"), "open")
-    # entries meet by length: each asks in its own band and the one on either side, which hold all that fits
-    band = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int")
-    asked = still.select("token", "y", F.explode(F.sequence(band(F.col("y.n")) - 1, band(F.col("y.n")) + 1)).alias("band"))
-    held = lists.select("token", F.col("y").alias("x"), band(F.col("y.n")).alias("band"))
-    rest = _verified(documents, written(_fitting(asked.join(held, ["token", "band"])), "rest-pairs"))
-    return first.union(rest).distinct()
+    pairs = _likely(classes, written(_fitting(lists.select("token", "y").join(earliest, "token")), "first-pairs"))
+    counts = lists.where(F.col("k") > FEW).select("token", "k").distinct().orderBy(F.desc("k"), "token")
+    frequent = [r[0] for r in counts.limit(FREQUENT).collect()]
+    moving = written(classes.where(F.expr(f"exists(prefix, t -> {_one_of(frequent)})")).select("first", "n", "prefix"), "moving")
+    read = written(_ends(pairs).union(moving.select("first")).distinct(), "named")
+    sets = written(_again(documents, read), "sets")
+    first = _verified(sets, pairs)
+    # pairs of which both move
+    moved = written(_rarest_first(sets, moving), "moved")
+    second = _verified(sets, _likely(moved, _open_pairs(_lists(moved), first)))
+    done = written(first.union(second).distinct(), "matched")
+    # pairs of which one stays
+    rare = lists.where(F.expr(f"NOT {_one_of(frequent)}".replace("t IN", "token IN")))
+    pairs = _likely(classes, _open_pairs(rare, done))
+    more = written(_ends(pairs).join(read, "at", "left_anti"), "named")
+    rest = _verified(sets.union(written(_again(documents, more), "sets")), pairs)
+    return done.union(rest).distinct()
 
 
 def later_lines(documents: DataFrame) -> DataFrame:
@@ -160,15 +194,19 @@ def later_lines(documents: DataFrame) -> DataFrame:
     doc is the id, the largest for NULL, and same a hash of the text. Rows of the same id and text are one document;
     rows of one id with different texts come in the order of that hash. NULL and empty texts have no lines.
     """
-    table = written(lines(documents).select("doc", "same", "line", "n", "class", _prefix().alias("prefix")), "lines")
+    table = written(lines(documents).select("doc", "same", "line", "n", "class", _short(_first("tokens")).alias("prefix")), "lines")
     at = F.struct("doc", "same", "line")
-    classes = table.groupBy("class").agg(
-        F.min(at).alias("first"), F.count("*").alias("k"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
-    )
-    classes = _rarest_first(documents, written(classes, "line-classes"))
-    near = _matched(documents, classes).withColumn("near", F.lit(True))
-    verdicts = classes.join(near, F.col("first") == F.col("at"), "left").where("near OR k > 1").select("class", "first", "near")
-    return table.drop("prefix", "n").join(verdicts, "class").where(F.col("near").isNotNull() | (at != F.col("first"))).select("doc", "same", "line").distinct()
+    repeated = table.groupBy("class").agg(F.min(at).alias("first"), F.count("*").alias("k")).where("k > 1")
+    repeated = written(repeated.select("class", "first"), "repeated")
+    # classes of one line are taken from the lines as they are; only the others, and their first lines alone, are grouped
+    beside = _beside(table, repeated, "class", "inner")
+    heads = written(beside.where(at == F.col("first")).groupBy("first").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "heads")
+    classes = _beside(table, repeated, "class", "left_anti").select(at.alias("first"), "n", "prefix").union(heads)
+    if repeated.count() > BROADCAST_ROWS:
+        classes = written(classes, "line-classes")
+    # a copy of an earlier line goes in any case, so a match decides on the first line of its class alone
+    copies = beside.where(at != F.col("first")).select("doc", "same", "line")
+    return copies.union(_matched(documents, classes).select("at.doc", "at.same", "at.line")).distinct()
 
 
 def _with_removed(documents: DataFrame) -> DataFrame:
