@@ -102,3 +102,25 @@ def test_the_order_of_tokens_changes_no_result(spark, monkeypatch):
     found = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = expected(rows)
     assert found == {i: ",".join(map(str, want[i])) for i, _ in rows}
+
+
+def test_prefixes_of_all_classes_are_written_once(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", 8)
+    shared = " ".join(f"s{i}" for i in range(30))
+    rows = [(i, " ".join(f"x{i}_{k}" for k in range(20))) for i in range(60)] + [(100 + i, f"{shared} y{i} z{i}" * 2) for i in range(12)]
+    rows += [(200, rows[0][1]), (201, rows[1][1].replace("x1_0 ", ""))]
+    wrote = []
+
+    def counted(df, name, first=line_dedup.written):
+        out = first(df, name)
+        if "prefix" in out.columns:
+            wrote.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    out = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = expected(rows)
+    assert out == {i: ",".join(map(str, want[i])) for i, _ in rows}
+    assert want[200] == [0] and want[201] == [0]
+    # a frequent token makes only the classes that have it move
+    assert dict(wrote)["lines"] == len(rows) and sum(n for name, n in wrote if name != "lines") < len(rows)
