@@ -12,9 +12,12 @@ whole set is read again, and tokens that are frequent in the sets of those that
 which one class stays shares a token of the first order that is not frequent; a pair that moves shares one of the
 second. The list of frequent tokens is of bounded length; it only decides the order, so the result does not depend on
 it. Classes that share a prefix token pass the length and positional filters in
-pairs, first with the earliest class of each list, then, if no match came of that, with whole lists. A class
-is told there by its first line alone. The whole prefixes of a pair bound what the sets can share; only
-lines of pairs that are left are read again, and their whole sets compared. Lines that move are read in the same pass.
+pairs, first with the earliest class of each list, then, if no match came of that, with whole lists; a list of two has
+no other pair. A class is told there by its first line alone. The entries also hold the parity of a set's tokens by
+their last six bits: sets differ in as many tokens at least as in these bits, which drops nearly all pairs that are not
+similar. Beyond about a hundred tokens the bits tell little; if many such pairs are left, their whole prefixes bound
+what the sets can share. Only lines of pairs that are left are read again, and their whole sets compared. Lines that
+move are read in the same pass.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ SHINGLE, PERCENT = 5, 75
 BROADCAST_ROWS = 2_000_000
 #: Tokens in the prefixes of more than FEW classes are frequent; FREQUENT are told at most.
 FEW, FREQUENT = 64, 20_000
+#: Pairs of more than LONG tokens go by their prefixes before lines are read again, if there are over LONG_PAIRS.
+LONG, LONG_PAIRS = 200, 100_000
 _LAST = 2**63 - 1
 
 
@@ -54,7 +59,7 @@ def _lines_of(text: str) -> Column:
 def _tokenized(each: DataFrame) -> DataFrame:
     """(doc, same, line, n, tokens) of lines (doc, same, line, l) that have a word."""
     at = ["doc", "same", "line"]
-    words = each.select(*at, F.array_remove(F.split("l", " "), "").alias("w")).where(F.size("w") > 0)
+    words = each.where(F.trim("l") != "").select(*at, F.array_remove(F.split("l", " "), "").alias("w"))
     hashes = words.select(*at, F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     shingle = lambda w, i: F.xxhash64(w, *[F.get(F.col("h"), i + j) for j in range(1, SHINGLE)])
     runs = F.transform(F.slice("h", 1, F.greatest(F.size("h") - SHINGLE + 1, F.lit(0))), shingle)
@@ -73,6 +78,11 @@ def _first(tokens: str | Column) -> Column:
     return F.slice(tokens, F.lit(1), F.col("n") - _least(F.col("n")) + 1)
 
 
+def _bits(tokens: str) -> Column:
+    """The parity of how many tokens end in each value of six bits, as 64 bits."""
+    return F.expr(f"aggregate({tokens}, 0L, (a, t) -> a ^ shiftleft(1L, cast(t & 63 as int)))")
+
+
 def lines(documents: DataFrame) -> DataFrame:
     """(doc, same, line, n, tokens, class) of each line that has a word; NULL ids come last, as the largest id.
 
@@ -101,28 +111,26 @@ def _one_of(numbers: Iterable[int]) -> str:
 
 
 def _rarest_first(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(first, n, prefix) of written ``classes`` in an order that puts last what is frequent in their ``sets`` (at, n, tokens)."""
-    own = _beside(sets.withColumnRenamed("at", "first"), classes.select("first"), "first", "inner").select("first", "n", _short("tokens").alias("tokens"))
+    """(first, n, bits, prefix) of written ``classes`` in an order that puts last what is frequent in their ``sets`` (at, n, tokens)."""
+    own = _beside(sets.withColumnRenamed("at", "first"), classes.select("first"), "first", "inner").select("first", "n", _bits("tokens").alias("bits"), _short("tokens").alias("tokens"))
     counts = own.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > FEW)
     frequent = [r[0] for r in counts.orderBy(F.desc("k"), "token").limit(FREQUENT).select("token").collect()]
     rare, last = (F.expr(f"filter(tokens, t -> {x} {_one_of(frequent)})") for x in ("NOT", ""))
-    return own.select("first", "n", _first(F.concat(rare, last)).alias("prefix"))
+    return own.select("first", "n", "bits", _first(F.concat(rare, last)).alias("prefix"))
 
 
 def _fitting(pairs: DataFrame) -> DataFrame:
-    """(x, y) of pairs of list entries x and y of one token that pass the length and the positional filter.
+    """(x, y, long) of pairs of list entries x and y of one token that pass the filters of length, place and bits.
 
     The first token that two similar sets share leaves enough tokens behind it in both, so entries whose places leave
-    fewer do not meet. What is left out so comes after what stays, which keeps the second bound right.
+    fewer do not meet: a pair needs the list of that token alone. Similar sets differ in few tokens, and in no more bits.
     """
-    shares = lambda most: most * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))
+    both = F.col("x.n") + F.col("y.n")
     fits = F.least("x.n", "y.n") >= _least(F.greatest("x.n", "y.n"))
     left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    met = pairs.where((F.col("x.at") < F.col("y.at")) & fits & shares(left))
-    counted = met.groupBy(F.col("x.at").alias("x"), F.col("y.at").alias("y"), (F.col("x.n") + F.col("y.n")).alias("n")).agg(
-        F.count("*").alias("met"), F.min(left - 1).alias("after")
-    )
-    return counted.where((F.col("met") + F.col("after")) * (100 + PERCENT) >= PERCENT * F.col("n")).select("x", "y")
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
+    met = pairs.where((F.col("x.at") < F.col("y.at")) & fits & (left * (100 + PERCENT) >= PERCENT * both) & (differ * (100 + PERCENT) <= (100 - PERCENT) * both))
+    return met.select(F.col("x.at").alias("x"), F.col("y.at").alias("y"), (both > LONG).alias("long")).distinct()
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -130,18 +138,22 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of ``classes`` (first, n, prefix), those of written ``pairs`` (x, y) whose whole prefixes share enough, written.
+    """Of written ``pairs`` (x, y, long) of ``classes`` (first, n, prefix), those that can be similar, written.
 
+    Many long ones are judged by their whole prefixes, the others by whole sets later.
     What both sets have in the prefix that ends first is in the other prefix too; behind it a set has one token less
     than the least overlap. Equal hashes of different tokens only add to what is shared.
     """
+    long = pairs.where("long")
+    if long.count() <= LONG_PAIRS:
+        return pairs.select("x", "y")
     known = classes.select(F.col("first").alias("at"), "n", "prefix")
-    own = written(_beside(known, written(_ends(pairs), "named"), "at", "inner"), "prefixes")
+    own = written(_beside(known, written(_ends(long), "named"), "at", "inner"), "prefixes")
     x, y = (own.select(F.col("at").alias(c), F.col("n").alias(f"n_{c}"), F.col("prefix").alias(f"p_{c}")) for c in "xy")
     both = F.size(F.filter("p_x", lambda t: F.array_contains("p_y", t)))
     most = both + F.greatest(_least(F.col("n_x")), _least(F.col("n_y"))) - 1
-    met = pairs.join(x, "x").join(y, "y").where(most * (100 + PERCENT) >= PERCENT * (F.col("n_x") + F.col("n_y")))
-    return written(met.select("x", "y"), "likely-pairs")
+    met = long.join(x, "x").join(y, "y").where(most * (100 + PERCENT) >= PERCENT * (F.col("n_x") + F.col("n_y")))
+    return written(met.select("x", "y").union(pairs.where("not long").select("x", "y")), "likely-pairs")
 
 
 def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -153,26 +165,28 @@ def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(token, y, k), written: the prefix entries of ``classes`` (first, n, prefix) for tokens that ``k`` have, if over one."""
+    """(token, y, k), written: the prefix entries of ``classes`` (first, n, bits, prefix) for tokens that ``k`` have, if over one."""
     counts = written(classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("k")).where("k > 1"), "tokens")
-    entries = classes.select(F.col("first").alias("at"), "n", F.posexplode("prefix").alias("place", "token"))
-    return written(_beside(entries, counts, "token", "inner").select("token", F.struct("at", "n", "place").alias("y"), "k"), "lists")
+    entries = classes.select(F.col("first").alias("at"), "n", "bits", F.posexplode("prefix").alias("place", "token"))
+    return written(_beside(entries, counts, "token", "inner").select("token", F.struct("at", "n", "place", "bits").alias("y"), "k"), "lists")
 
 
 def _open_pairs(lists: DataFrame, first: DataFrame) -> DataFrame:
-    """(x, y), written: the pairs of entries of ``lists`` that fit and whose later class is not in written ``first`` (at)."""
+    """(x, y, long), written: the pairs of entries of ``lists`` that fit and whose later class is not in written ``first`` (at)."""
     still = _beside(lists.select("token", "y").withColumn("at", F.col("y.at")), first, "at", "left_anti").select("token", "y")
     return written(_fitting(still.join(lists.select("token", F.col("y").alias("x")), "token")), "rest-pairs")
 
 
 def _matched(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """(at): the first lines of those ``classes`` (first, n, prefix) to which an earlier one is similar."""
+    """(at): the first lines of those ``classes`` (first, n, bits, prefix) to which an earlier one is similar."""
     lists = _lists(classes)
     earliest = lists.groupBy("token").agg(F.min_by("y", "y.at").alias("x"))
     pairs = _likely(classes, written(_fitting(lists.select("token", "y").join(earliest, "token")), "first-pairs"))
     counts = lists.where(F.col("k") > FEW).select("token", "k").distinct().orderBy(F.desc("k"), "token")
     frequent = [r[0] for r in counts.limit(FREQUENT).collect()]
-    moving = written(classes.where(F.expr(f"exists(prefix, t -> {_one_of(frequent)})")).select("first", "n", "prefix"), "moving")
+    # of the prefixes of those that move, what is frequent
+    often = lists.where(F.expr(_one_of(frequent).replace("t IN", "token IN"))).groupBy(F.col("y.at").alias("first"))
+    moving = written(often.agg(F.collect_list("token").alias("prefix")), "moving")
     read = written(_ends(pairs).union(moving.select("first")).distinct(), "named")
     sets = written(_again(documents, read), "sets")
     first = _verified(sets, pairs)
@@ -180,8 +194,8 @@ def _matched(documents: DataFrame, classes: DataFrame) -> DataFrame:
     moved = written(_rarest_first(sets, moving), "moved")
     second = _verified(sets, _likely(moved, _open_pairs(_lists(moved), first)))
     done = written(first.union(second).distinct(), "matched")
-    # pairs of which one stays
-    rare = lists.where(F.expr(f"NOT {_one_of(frequent)}".replace("t IN", "token IN")))
+    # pairs of which one stays; those of two entries have met
+    rare = lists.where("k > 2").where(F.expr(f"NOT {_one_of(frequent)}".replace("t IN", "token IN")))
     pairs = _likely(classes, _open_pairs(rare, done))
     more = written(_ends(pairs).join(read, "at", "left_anti"), "named")
     rest = _verified(sets.union(written(_again(documents, more), "sets")), pairs)
@@ -194,14 +208,14 @@ def later_lines(documents: DataFrame) -> DataFrame:
     doc is the id, the largest for NULL, and same a hash of the text. Rows of the same id and text are one document;
     rows of one id with different texts come in the order of that hash. NULL and empty texts have no lines.
     """
-    table = written(lines(documents).select("doc", "same", "line", "n", "class", _short(_first("tokens")).alias("prefix")), "lines")
+    table = written(lines(documents).select("doc", "same", "line", "n", "class", _bits("tokens").alias("bits"), _short(_first("tokens")).alias("prefix")), "lines")
     at = F.struct("doc", "same", "line")
     repeated = table.groupBy("class").agg(F.min(at).alias("first"), F.count("*").alias("k")).where("k > 1")
     repeated = written(repeated.select("class", "first"), "repeated")
     # classes of one line are taken from the lines as they are; only the others, and their first lines alone, are grouped
     beside = _beside(table, repeated, "class", "inner")
-    heads = written(beside.where(at == F.col("first")).groupBy("first").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "heads")
-    classes = _beside(table, repeated, "class", "left_anti").select(at.alias("first"), "n", "prefix").union(heads)
+    heads = written(beside.where(at == F.col("first")).groupBy("first").agg(*[F.first(c).alias(c) for c in ("n", "bits", "prefix")]), "heads")
+    classes = _beside(table, repeated, "class", "left_anti").select(at.alias("first"), "n", "bits", "prefix").union(heads)
     if repeated.count() > BROADCAST_ROWS:
         classes = written(classes, "line-classes")
     # a copy of an earlier line goes in any case, so a match decides on the first line of its class alone

@@ -124,3 +124,30 @@ def test_prefixes_of_all_classes_are_written_once(spark, monkeypatch):
     assert want[200] == [0] and want[201] == [0]
     # a frequent token makes only the classes that have it move
     assert dict(wrote)["lines"] == len(rows) and sum(n for name, n in wrote if name != "lines") < len(rows)
+
+
+def test_lines_that_share_half_are_not_read_again(spark, monkeypatch):
+    # pairs of lines with half of their runs in common, and three of which one word differs
+    words = lambda i, k: [f"w{i}_{j}" for j in range(k)]
+    rows = [(i, " ".join(words(i, 20) + words(100 + i, 20))) for i in range(30)] + [(50 + i, " ".join(words(i, 20) + words(200 + i, 20))) for i in range(30)]
+    rows += [(300 + i, rows[i][1].replace(f"w{100 + i}_19", "other")) for i in range(3)]
+    read = []
+
+    def kept(documents, named, first=line_dedup._again):
+        read.append(named.count())
+        return first(documents, named)
+
+    monkeypatch.setattr(line_dedup, "_again", kept)
+    out = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = expected(rows)
+    assert out == {i: ",".join(map(str, want[i])) for i, _ in rows} and sum(map(len, want.values())) == 3
+    assert sum(read) < 15
+
+
+def test_long_lines_go_by_their_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "LONG", 10)
+    monkeypatch.setattr(line_dedup, "LONG_PAIRS", 0)
+    rows = corpus()
+    found = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = expected(rows)
+    assert found == {i: ",".join(map(str, want[i])) for i, _ in rows}
