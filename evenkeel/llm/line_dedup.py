@@ -49,8 +49,8 @@ def _named(documents: DataFrame) -> DataFrame:
 
 
 def _lines_of(text: str) -> Column:
-    """The lines of a text, lowered, with blanks as the only white space."""
-    body = lowered(F.col(text))
+    """The lines of a text, with blanks as the only white space."""
+    body = F.col(text)
     for space in "\t\x0b\x0c\r":
         body = F.replace(body, F.lit(space), F.lit(" "))
     return F.split(body, "\n")
@@ -59,7 +59,7 @@ def _lines_of(text: str) -> Column:
 def _tokenized(each: DataFrame) -> DataFrame:
     """(doc, same, line, n, tokens) of lines (doc, same, line, l) that have a word."""
     at = ["doc", "same", "line"]
-    words = each.where(F.trim("l") != "").select(*at, F.array_remove(F.split("l", " "), "").alias("w"))
+    words = each.where(F.trim("l") != "").select(*at, F.array_remove(F.split(lowered(F.col("l")), " "), "").alias("w"))
     hashes = words.select(*at, F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     shingle = lambda w, i: F.xxhash64(w, *[F.get(F.col("h"), i + j) for j in range(1, SHINGLE)])
     runs = F.transform(F.slice("h", 1, F.greatest(F.size("h") - SHINGLE + 1, F.lit(0))), shingle)
@@ -102,7 +102,7 @@ def _again(documents: DataFrame, named: DataFrame) -> DataFrame:
     wanted = written(named.groupBy("at.doc", "at.same").agg(F.collect_list("at.line").alias("wanted")), "places")
     met = _beside(_named(documents.where("text is not null")), wanted, ["doc", "same"], "inner").select("doc", "same", _lines_of("text").alias("l"), "wanted")
     some = met.select("doc", "same", F.explode(F.transform("wanted", lambda w: F.struct(w.alias("line"), F.get("l", w).alias("l")))).alias("w"))
-    each = some.select("doc", "same", "w.line", "w.l").dropDuplicates(["doc", "same", "line"])
+    each = some.select("doc", "same", "w.line", "w.l").distinct()
     return _tokenized(each).select(F.struct("doc", "same", "line").alias("at"), "n", "tokens")
 
 
@@ -210,16 +210,18 @@ def later_lines(documents: DataFrame) -> DataFrame:
     """
     table = written(lines(documents).select("doc", "same", "line", "n", "class", _bits("tokens").alias("bits"), _short(_first("tokens")).alias("prefix")), "lines")
     at = F.struct("doc", "same", "line")
-    repeated = table.groupBy("class").agg(F.min(at).alias("first"), F.count("*").alias("k")).where("k > 1")
-    repeated = written(repeated.select("class", "first"), "repeated")
-    # classes of one line are taken from the lines as they are; only the others, and their first lines alone, are grouped
-    beside = _beside(table, repeated, "class", "inner")
-    heads = written(beside.where(at == F.col("first")).groupBy("first").agg(*[F.first(c).alias(c) for c in ("n", "bits", "prefix")]), "heads")
-    classes = _beside(table, repeated, "class", "left_anti").select(at.alias("first"), "n", "bits", "prefix").union(heads)
+    own = ["n", "bits", "prefix"]
+    repeated = table.groupBy("class").agg(F.min("doc").alias("least"), F.count("*").alias("k")).where("k > 1")
+    repeated = written(repeated.select("class", "least"), "repeated")
+    # classes of one line are taken from the lines as they are; of the others, only lines of the first document are sorted
+    early = _beside(table, repeated, "class", "inner").where(F.col("doc") == F.col("least"))
+    heads = early.groupBy("class").agg(F.min(F.struct(at.alias("first"), *own)).alias("head"))
+    heads = written(heads.select("class", "head.first", *[f"head.{c}" for c in own]), "heads")
+    classes = _beside(table, repeated, "class", "left_anti").select(at.alias("first"), *own).union(heads.select("first", *own))
     if repeated.count() > BROADCAST_ROWS:
         classes = written(classes, "line-classes")
     # a copy of an earlier line goes in any case, so a match decides on the first line of its class alone
-    copies = beside.where(at != F.col("first")).select("doc", "same", "line")
+    copies = _beside(table, heads.select("class", "first"), "class", "inner").where(at != F.col("first")).select("doc", "same", "line")
     return copies.union(_matched(documents, classes).select("at.doc", "at.same", "at.line")).distinct()
 
 

@@ -151,3 +151,17 @@ def test_long_lines_go_by_their_prefixes(spark, monkeypatch):
     found = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = expected(rows)
     assert found == {i: ",".join(map(str, want[i])) for i, _ in rows}
+
+
+def test_lines_are_grouped_without_a_sort(spark, monkeypatch):
+    plans = {}
+
+    def kept(df, name, first=line_dedup.written):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return first(df, name)
+
+    monkeypatch.setattr(line_dedup, "written", kept)
+    rows = [(1, "a b c d e f g h\nx"), (2, "A b c d e f g h\nx"), (2, "A b c d e f g h\nx"), (None, "x\na b c d e f g h\na b c d e f g h i")]
+    out = Counter(tuple(r) for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert out == Counter([(1, 2, 0, "")] + [(2, 2, 2, "0,1")] * 2 + [(None, 3, 3, "0,1,2")])
+    assert [x for x in ("repeated", "sets") if "SortAggregate" in plans[x]] == []
